@@ -62,7 +62,7 @@ if __name__ == "__main__":
     import __spark_entry__ as e
     from wardline.session import build_session
 
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     con = duck(sf)

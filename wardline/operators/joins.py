@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.operators.sequence import same
-
 
 def inner_equi_join(left: DataFrame, right: DataFrame, key: str, *take: str) -> DataFrame:
     return left.join(right.select(key, *take), key, "inner")
@@ -53,13 +51,18 @@ def current_join(facts: DataFrame, versions: DataFrame, key: str, *take: Column)
     return facts.join(now, key)
 
 
+def _keys(keys: DataFrame, key: str) -> DataFrame:
+    # a fresh column, so that keys taken from the joined table itself stay distinguishable
+    return keys.select(F.col(key).alias("_key"))
+
+
 def in_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key occurs in ``keys``; NULL matches NULL."""
-    return df.join(keys, same(df, keys, key), "left_semi")
+    return df.join(_keys(keys, key), F.col(key).eqNullSafe(F.col("_key")), "left_semi")
 
 
 def not_in_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    return df.join(keys, same(df, keys, key), "left_anti")
+    return df.join(_keys(keys, key), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
 
 
 def in_either(df: DataFrame, first: DataFrame, first_key: str, second: DataFrame, second_key: str) -> DataFrame:
@@ -69,13 +72,13 @@ def in_either(df: DataFrame, first: DataFrame, first_key: str, second: DataFrame
     """
     a = first.select(F.col(first_key).alias("_a")).distinct().withColumn("_in_a", F.lit(True))
     b = second.select(F.col(second_key).alias("_b")).distinct().withColumn("_in_b", F.lit(True))
-    tagged = df.join(a, df[first_key].eqNullSafe(a["_a"]), "left").join(
-        b, df[second_key].eqNullSafe(b["_b"]), "left"
+    tagged = df.join(a, F.col(first_key).eqNullSafe(F.col("_a")), "left").join(
+        b, F.col(second_key).eqNullSafe(F.col("_b")), "left"
     )
-    return tagged.filter("_in_a or _in_b").select(*[df[c] for c in df.columns])
+    return tagged.filter("_in_a or _in_b").select(*df.columns)
 
 
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
     keys = parent.select(F.col(parent_key).alias("_pk"))
-    return child.filter(F.col(child_key).isNotNull()).join(keys, child[child_key] == keys["_pk"], "left_anti")
+    return child.filter(F.col(child_key).isNotNull()).join(keys, F.col(child_key) == F.col("_pk"), "left_anti")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -33,9 +33,8 @@ class Sequence:
     id: str
     seq: str
     total: str
-    value: Column | None = None
+    value: str | None = None  # date column carried over from the row before
     previous: str | None = None
-    previous_type: str = "date"
 
 
 def large_groups(rows: DataFrame, key: str, row_limit: int = GROUP_ROW_LIMIT) -> DataFrame | None | bool:
@@ -54,24 +53,17 @@ def large_groups(rows: DataFrame, key: str, row_limit: int = GROUP_ROW_LIMIT) ->
     return rows.sparkSession.createDataFrame(found, counted.schema)
 
 
-def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Null-safe equality on columns of the same name."""
-    out = None
-    for n in names:
-        term = left[n].eqNullSafe(right[n])
-        out = term if out is None else out & term
-    return out
-
-
 def number_rows(df: DataFrame, spec: Sequence, hot: DataFrame | None | bool = None) -> DataFrame:
     """Add ``seq``, ``total`` and, if asked, ``previous``; ``hot`` comes from ``large_groups``."""
     if hot is None:
         return _by_window(df, spec)
     if hot is True:
         return _by_chunks(df, spec)
-    keys = F.broadcast(hot)  # at most HOT_KEY_LIMIT rows, checked in large_groups
-    usual = df.join(keys, same(df, keys, spec.key), "left_anti")
-    large = df.join(keys, same(df, keys, spec.key), "left_semi")
+    # at most HOT_KEY_LIMIT rows, checked in large_groups
+    keys = F.broadcast(hot.select(F.col(spec.key).alias("_hot")))
+    is_hot = F.col(spec.key).eqNullSafe(F.col("_hot"))
+    usual = df.join(keys, is_hot, "left_anti")
+    large = df.join(keys, is_hot, "left_semi")
     return _by_window(usual, spec).unionByName(_by_chunks(large, spec))
 
 
@@ -90,7 +82,7 @@ def _by_window(df: DataFrame, spec: Sequence) -> DataFrame:
 
 def _by_chunks(df: DataFrame, spec: Sequence) -> DataFrame:
     place = F.coalesce(F.col(spec.id).cast("long"), F.lit(_LAST_ID))
-    value = spec.value if spec.previous else F.lit(None).cast("date")
+    value = F.col(spec.value) if spec.previous else F.lit(None).cast("date")
     rows = df.withColumns({"_place": place, "_value": value}).withColumn(
         "_chunk", F.shiftright("_place", CHUNK_BITS)
     )
@@ -103,32 +95,33 @@ def _by_chunks(df: DataFrame, spec: Sequence) -> DataFrame:
 
     over_days = W.partitionBy(key).orderBy(F.col(day).asc_nulls_last())
     days = days.select(
-        key,
-        day,
+        F.col(key).alias("_dk"),
+        F.col(day).alias("_dd"),
         F.coalesce(F.sum("_day_n").over(over_days.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_day_base"),
         F.sum("_day_n").over(over_days.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("_total"),
         F.lag("_day_last").over(over_days).alias("_day_prev"),
     )
     over_chunks = W.partitionBy(key, day).orderBy("_chunk")
     chunks = chunks.select(
-        key,
-        day,
-        "_chunk",
+        F.col(key).alias("_k"),
+        F.col(day).alias("_d"),
+        F.col("_chunk").alias("_c"),
         F.coalesce(F.sum("_n").over(over_chunks.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_chunk_base"),
         F.lag("_last").over(over_chunks).alias("_chunk_prev"),
     )
-    offsets = chunks.join(days, same(chunks, days, key, day)).select(
-        chunks[key].alias("_k"),
-        chunks[day].alias("_d"),
-        chunks["_chunk"].alias("_c"),
+    same_day = F.col("_k").eqNullSafe(F.col("_dk")) & F.col("_d").eqNullSafe(F.col("_dd"))
+    offsets = chunks.join(days, same_day).select(
+        "_k",
+        "_d",
+        "_c",
         (F.col("_day_base") + F.col("_chunk_base")).alias("_base"),
         "_total",
         F.coalesce("_chunk_prev", "_day_prev").alias("_before"),
     )
-    placed = rows.join(
-        offsets,
-        rows[key].eqNullSafe(offsets["_k"]) & rows[day].eqNullSafe(offsets["_d"]) & (rows["_chunk"] == offsets["_c"]),
+    same_chunk = (
+        F.col(key).eqNullSafe(F.col("_k")) & F.col(day).eqNullSafe(F.col("_d")) & (F.col("_chunk") == F.col("_c"))
     )
+    placed = rows.join(offsets, same_chunk)
     inside = W.partitionBy("_k", "_d", "_c").orderBy("_place")
     out = {
         spec.seq: (F.col("_base") + F.row_number().over(inside)).cast("long"),

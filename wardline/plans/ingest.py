@@ -71,13 +71,14 @@ def gate_batch(
 ) -> GateRun:
     """One batch of files through the gate. Safe to repeat with the same ``batch_id``.
 
-    The text is read twice (first lines, then cells) and parsed once into a table stored by feed;
-    every check and the load read that table. With ``keep_lines`` quarantined lines are written
-    out, for sources that leave no file to move.
+    The text is read and cut once, into a table stored by feed; headers, checks and load read that
+    table. With ``keep_lines`` quarantined lines are written out, for sources that leave no file to
+    move.
     """
     stamp = F.lit(at).cast("timestamp_ntz")
-    headers = written(files.file_header(lines), "headers")
-    staged = written(files.staged_rows(lines, headers), "staged", "feed")
+    parsed = written(files.parsed_lines(lines), "parsed", "feed")
+    headers = written(files.file_header(parsed), "headers")
+    staged = files.staged_rows(parsed, headers)
     plan = c.file_plan(manifest, headers)
     results = written(c.check_rows(plan, staged, limits), "checks")
     verdicts = written(c.file_verdicts(results), "verdicts")
@@ -129,8 +130,9 @@ def run_gate(
 def preflight(spark: SparkSession, incoming: str) -> DataFrame:
     """Read-only header comparison of a folder."""
     manifest = files.file_manifest(spark, incoming).withColumn("feed", files.feed_of(F.col("file_name")))
-    lines = files.lines_of(spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(incoming))
-    return c.preflight_header_diff(manifest, files.file_header(lines, preflight=True))
+    text = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(incoming)
+    parsed = files.parsed_lines(files.numbered(files.placed_lines(text)))
+    return c.preflight_header_diff(manifest, files.file_header(parsed, preflight=True))
 
 
 def problem_count(diff: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ VISITS = Sequence(
     id="admission_id",
     seq="patient_visit_seq",
     total="patient_total_visits",
-    value=F.col("discharge_date"),
+    value="discharge_date",
     previous="prev_discharge_date",
 )
 STEPS = Sequence(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardline.registry.compare import plain
 
-PARTS = ("q_models", "q_gate")
+PARTS = ("q_models", "q_gate", "q_state")
 
 
 def _parts():

@@ -26,8 +26,9 @@ SHIFT_MONTHS = 300
 UPLOADED = "2026-06-29 12:00:00"
 
 
-def _joined(*cells: Column) -> Column:
-    return F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in cells])
+def _joined(*cells: Column, more: tuple[Column, ...] = ()) -> Column:
+    """Cells with blanks for NULL; a NULL among ``more`` leaves that cell out."""
+    return F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in cells], *more)
 
 
 def _header(names: list[str]) -> str:
@@ -94,9 +95,9 @@ def _admission_lines(b: DataFrame) -> DataFrame:
         F.when((y == 2001) & (k % 17 == 0), "XXX").otherwise(kind),
         F.when(k % 23 == 0, F.concat(F.lit('"D,'), k % 10, F.lit('"'))).otherwise(F.concat(F.lit("D"), k % 40)),
         F.when((y == 1999) & (k % 11 == 0), "abc").otherwise((k % 12).cast("string")),
-        k % 2,
     ]
-    line = F.when(y == 1996, _joined(*cells[:-1])).when((y == 2001) & (k % 19 == 0), _joined(*cells, F.lit("x"))).otherwise(_joined(*cells))
+    flag = F.when(y != 1996, (k % 2).cast("string"))
+    line = _joined(*cells, more=(flag, F.when((y == 2001) & (k % 19 == 0), "x")))
     copies = F.when((y == 2000) & (k % 13 == 0), 2).otherwise(1)
     return _data(b, ADMISSIONS.name, line, copies)
 
@@ -107,12 +108,10 @@ def _treatment_lines(b: DataFrame) -> DataFrame:
     outcome = F.when((y == 2001) & (k % 9 == 0), "X").otherwise(outcome)
     cost = F.when((y == 1999) & (k % 20 == 0), "").otherwise(F.col("price").cast("string"))
     lead = [k, k, F.concat(F.lit("D"), _padded(k % 10, 3)), F.concat(F.lit("P"), k % 25), F.col("iso")]
-    line = (
-        F.when(y == 1997, _joined(*lead, outcome, cost))
-        .when(y == 1998, _joined(*lead, cost, outcome, F.lit("n")))
-        .when(y == 2000, _joined(*lead, cost))
-        .otherwise(_joined(*lead, cost, outcome))
-    )
+    turned = y == 1997
+    sixth = F.when(turned, outcome).otherwise(cost)
+    seventh = F.when(turned, cost).when(y != 2000, outcome)
+    line = _joined(*lead, sixth, more=(seventh, F.when(y == 1998, "n")))
     return _data(b, TREATMENTS.name, line)
 
 
@@ -150,7 +149,20 @@ def _header_lines(b: DataFrame) -> DataFrame:
     return out
 
 
+_tables: dict[tuple[str, str], str] = {}
+
+
 def gate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived lines, written once per session and folder: what has arrived."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _tables:
+        path = scratch_path(spark, "gate-lines")
+        derived_lines(spark, sf_dir).write.parquet(path)
+        _tables[at] = path
+    return spark.read.parquet(_tables[at])
+
+
+def derived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as a text source would give them: file, upload time, place, text."""
     b = _base(spark, sf_dir)
     data = _admission_lines(b).unionByName(_treatment_lines(b)).unionByName(_claim_lines(b))

@@ -51,6 +51,22 @@ MODELS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_claims": lambda s, d: gold.fct_claims(table(s, d, "stg_claims")),
 }
 
+
+
+def _before(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Landed rows up to the split: what an earlier run had seen."""
+    return lambda s, d: table(s, d, name).filter(F.col("load_dttm") <= a.ntz(a.SPLIT_AT))
+
+
+MODELS |= {
+    "stg_admissions_before": lambda s, d: silver.stg_admissions(_before("raw_admissions")(s, d), a.as_of()),
+    "stg_treatments_before": lambda s, d: silver.stg_treatments(_before("raw_treatments")(s, d)),
+    "stg_claims_before": lambda s, d: silver.stg_claims(_before("raw_claims")(s, d)),
+    "fct_admissions_before": lambda s, d: gold.fct_admissions(table(s, d, "stg_admissions_before")),
+    "fct_treatments_before": lambda s, d: gold.fct_treatments(table(s, d, "stg_treatments_before")),
+    "fct_claims_before": lambda s, d: gold.fct_claims(table(s, d, "stg_claims_before")),
+}
+
 _paths: dict[tuple[str, str, str], str] = {}
 
 

@@ -16,26 +16,26 @@ from wardline.registry.adapters import ntz
 
 
 def parts(spark, sf):
-    lines = g.gate_lines(spark, sf)
-    headers = files.file_header(lines)
-    staged = files.staged_rows(lines, headers)
+    parsed = files.parsed_lines(g.gate_lines(spark, sf))
+    headers = files.file_header(parsed)
+    staged = files.staged_rows(parsed, headers)
     manifest = files.recognised(g.gate_manifest(spark, sf))
-    return lines, headers, staged, c.file_plan(manifest, headers)
+    return headers, staged, c.file_plan(manifest, headers)
 
 
 def _one(name):
     def run(spark, sf):
-        _, _, staged, plan = parts(spark, sf)
+        _, staged, plan = parts(spark, sf)
         return c.check_rows(plan, staged, only=[name])
 
     return run
 
 
 def all_checks(spark, sf):
-    """All ten checks; rows are staged once since several passes read them."""
-    lines, headers, staged, _ = parts(spark, sf)
-    headers = written(headers, "headers")
-    staged = written(files.staged_rows(lines, headers), "staged", "feed")
+    """All ten checks; lines are cut once since several passes read them."""
+    parsed = written(files.parsed_lines(g.gate_lines(spark, sf)), "parsed", "feed")
+    headers = written(files.file_header(parsed), "headers")
+    staged = files.staged_rows(parsed, headers)
     manifest = files.recognised(g.gate_manifest(spark, sf))
     return c.check_rows(c.file_plan(manifest, headers), staged)
 
@@ -45,7 +45,7 @@ def verdicts(spark, sf):
 
 
 def file_log(spark, sf):
-    _, _, staged, _ = parts(spark, sf)
+    _, staged, _ = parts(spark, sf)
     kept = files.lenient_load(staged).groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
     return audit.file_log(verdicts(spark, sf), kept, q.RUN_ID, ntz(q.RUN_AT))
 
@@ -61,13 +61,13 @@ QUERIES |= {
     "advisory_warnings": lambda s, d: c.advisory_warnings(verdicts(s, d)),
     "preflight_header_diff": lambda s, d: c.preflight_header_diff(
         g.gate_manifest(s, d).withColumn("feed", files.feed_of(F.col("file_name"))),
-        files.file_header(g.gate_lines(s, d), preflight=True),
+        files.file_header(files.parsed_lines(g.gate_lines(s, d)), preflight=True),
     ),
     "gate_all_checks": all_checks,
     "gate_run_summary": lambda s, d: c.run_summary(file_log(s, d)),
     "audit_file_log": file_log,
     "audit_check_log": lambda s, d: audit.check_log(all_checks(s, d), q.RUN_ID, ntz(q.RUN_AT)),
-    "lenient_load": lambda s, d: parts(s, d)[2]
+    "lenient_load": lambda s, d: parts(s, d)[1]
     .groupBy("file_name", "feed")
     .agg(F.count_if(~F.col("ragged")).alias("kept"), F.count_if("ragged").alias("skipped")),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.feeds import LINEAGE, FeedConfig
 from wardline.functions.numbers import try_number
@@ -58,18 +59,23 @@ def append_with_count(rows: DataFrame, path: str, batch_id: str) -> int:
     """
     seen = Observation()
     out = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    out = out.withColumns({"load_date": F.to_date("load_dttm"), "batch_id": F.lit(batch_id)})
     (
-        out.write.mode("overwrite")
+        out.withColumn("batch_id", F.lit(batch_id))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_date", "batch_id")
+        .partitionBy("batch_id")
         .parquet(path)
     )
     return seen.get["rows"]
 
 
-def read_landing(spark, path: str, cfg: FeedConfig) -> DataFrame:
-    return spark.read.parquet(path).select(*cfg.columns, *LINEAGE)
+def read_landing(spark, path: str, cfg: FeedConfig, batch_id: str | None = None) -> DataFrame:
+    """A landing table, or one batch of it (one partition)."""
+    schema = T.StructType(list(cfg.landing_schema.fields) + [T.StructField("batch_id", T.StringType())])
+    df = spark.read.schema(schema).parquet(path)
+    if batch_id is not None:
+        df = df.filter(F.col("batch_id") == batch_id)
+    return df.select(*cfg.columns, *LINEAGE)
 
 
 def newer_than(landed: DataFrame, moment: Column) -> DataFrame:

@@ -115,8 +115,8 @@ def changed_rows(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     One join on the key; the other columns are compared beside it, not shuffled on.
     """
     t = target.select(*[F.col(c).alias(f"_t_{c}") for c in source.columns], F.lit(True).alias("_found"))
-    joined = source.join(t, source[key].eqNullSafe(F.col(f"_t_{key}")), "left")
+    joined = source.join(t, F.col(key).eqNullSafe(F.col(f"_t_{key}")), "left")
     equal = F.lit(True)
     for c in source.columns:
-        equal = equal & source[c].eqNullSafe(F.col(f"_t_{c}"))
-    return joined.filter(F.col("_found").isNull() | ~equal).select(*[source[c] for c in source.columns])
+        equal = equal & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+    return joined.filter(F.col("_found").isNull() | ~equal).select(*source.columns)

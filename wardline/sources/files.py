@@ -58,19 +58,24 @@ def recognised(manifest: DataFrame) -> DataFrame:
     return routed.filter(name.endswith(".csv") & F.col("feed").isNotNull())
 
 
-def lines_of(df: DataFrame) -> DataFrame:
-    """Raw lines with their place, from a text source (batch or streaming)."""
+def placed_lines(df: DataFrame) -> DataFrame:
+    """Raw lines with file, upload time and first byte of their block, batch or streaming."""
     return df.select(
         F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("upload_dttm"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_no"),
         F.col("value").alias("line"),
     )
 
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """Line numbers that grow within each block (streams number each micro-batch)."""
+    return lines.withColumn("line_no", F.monotonically_increasing_id())
+
+
 def read_lines(spark: SparkSession, directory: str) -> DataFrame:
-    return lines_of(spark.read.option("pathGlobFilter", "*.csv").text(directory))
+    return numbered(placed_lines(spark.read.option("pathGlobFilter", "*.csv").text(directory)))
 
 
 def csv_raw_lines_scan(spark: SparkSession, directory: str, columns: int = MAX_CELLS) -> DataFrame:
@@ -128,38 +133,48 @@ def expected_width() -> Column:
     return out
 
 
-def file_header(lines: DataFrame, preflight: bool = False) -> DataFrame:
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """Lines of known feeds cut into cells. Meant to be written once: headers, checks and load all
+    read it, and a line number then stays what it is, however often the files are planned."""
+    return lines.withColumn("feed", feed_of(F.col("file_name"))).filter(F.col("feed").isNotNull()).select(
+        "file_name",
+        "feed",
+        "upload_dttm",
+        "block_start",
+        "line_no",
+        split_cells(F.col("line")).alias("cells"),
+        open_quote(F.col("line")).alias("open_quote"),
+    )
+
+
+def file_header(parsed: DataFrame, preflight: bool = False) -> DataFrame:
     """First physical line per file as lower-case names.
 
     Only lines of a file's first block are candidates, and the smallest line number wins on the
     map side first, so one line per file and task is shuffled.
     """
     first = (
-        lines.filter(F.col("block_start") == 0)
-        .groupBy("file_name")
-        .agg(F.min(F.struct("line_no", "line")).alias("h"))
+        parsed.filter(F.col("block_start") == 0)
+        .groupBy("file_name", "feed")
+        .agg(F.min(F.struct("line_no", "cells")).alias("h"))
     )
-    routed = first.withColumn("feed", feed_of(F.col("file_name")))
     width = F.lit(PREFLIGHT_CELLS) if preflight else expected_width()
-    cells = F.slice(F.transform(split_cells(F.col("h.line")), header_name), 1, width)
+    cells = F.slice(F.transform(F.col("h.cells"), header_name), 1, width)
     names = F.filter(cells, lambda x: x.isNotNull() & (x != ""))
-    return routed.select("file_name", "feed", F.col("h.line_no").alias("header_no"), names.alias("header"))
+    return first.select("file_name", "feed", F.col("h.line_no").alias("header_no"), names.alias("header"))
 
 
-def staged_rows(lines: DataFrame, headers: DataFrame) -> DataFrame:
-    """Data rows of known feeds as cells; ``ragged`` marks a wrong number of cells."""
-    h = headers.filter(F.col("feed").isNotNull()).select(
-        F.col("file_name").alias("_f"), "feed", "header_no", F.size("header").alias("_n")
-    )
-    rows = lines.join(h, lines["file_name"] == h["_f"])
+def staged_rows(parsed: DataFrame, headers: DataFrame) -> DataFrame:
+    """Data rows as cells; ``ragged`` marks a wrong number of cells or an open quote."""
+    h = headers.select(F.col("file_name").alias("_f"), "header_no", F.size("header").alias("_n"))
+    rows = parsed.join(h, F.col("file_name") == F.col("_f"))
     is_header = (F.col("block_start") == 0) & (F.col("line_no") == F.col("header_no"))
-    cells = rows.filter(~is_header).withColumn("cells", split_cells(F.col("line")))
-    return cells.select(
+    return rows.filter(~is_header).select(
         "file_name",
         "feed",
         "upload_dttm",
         "cells",
-        (open_quote(F.col("line")) | (F.size("cells") != F.col("_n"))).alias("ragged"),
+        (F.col("open_quote") | (F.size("cells") != F.col("_n"))).alias("ragged"),
     )
 
 
