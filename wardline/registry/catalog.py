@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardline.registry.compare import plain
 
-PARTS = ("q_models", "q_gate", "q_state", "q_sources", "q_tests")
+PARTS = ("q_models", "q_gate", "q_state", "q_sources", "q_tests", "q_columns")
 
 
 def _parts():
