@@ -21,7 +21,7 @@ from wardline.registry.adapters import _padded, read
 from wardline.session import scratch_path
 
 # Fixed values shared with the SQL side.
-KEYS_PER_FILE = 1_000_000
+KEYS_PER_FILE = 10_000_000
 SHIFT_MONTHS = 300
 UPLOADED = "2026-06-29 12:00:00"
 
