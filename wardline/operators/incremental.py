@@ -81,21 +81,22 @@ def rewritten_treatments(target: DataFrame, fresh: DataFrame, row_limit: int = G
     kept = not_in_keys(target, new, "treatment_id")
     stored = kept.select(*new.columns, *_COSTED, *_NUMBERED)
     now = stored.unionByName(new, allowMissingColumns=True)
-
-    numbered_scope = in_keys(now, admissions, "admission_id").drop(*_NUMBERED)
-    hot = large_groups(numbered_scope, "admission_id", row_limit)
-    numbered = number_rows(numbered_scope, silver.STEPS, hot)
-    costed_only = in_keys(not_in_keys(now, admissions, "admission_id"), procedures, "procedure_code")
-    rows = written(numbered.unionByName(costed_only.select(*numbered.columns)), "touched-treatments")
-
-    stats = spread.cost_statistics(
-        in_keys(now, procedures, "procedure_code").select("procedure_code", "cost"), "procedure_code", "cost"
+    in_procedure = procedures.select(F.col("procedure_code").alias("_p"), F.lit(True).alias("_costs"))
+    in_admission = admissions.select(F.col("admission_id").alias("_a"), F.lit(True).alias("_steps"))
+    touched = written(
+        now.join(in_procedure, F.col("procedure_code").eqNullSafe(F.col("_p")), "left")
+        .join(in_admission, F.col("admission_id").eqNullSafe(F.col("_a")), "left")
+        .filter("_costs or _steps")
+        .drop("_p", "_a"),
+        "touched-treatments",
     )
-    fresh = procedures.select(F.col("procedure_code").alias("_p"), F.lit(True).alias("_fresh"))
-    joined = spread.attach(rows, stats, "procedure_code").join(
-        fresh, F.col("procedure_code").eqNullSafe(F.col("_p")), "left"
-    )
-    chosen = lambda name, c: F.when(F.col("_fresh"), c).otherwise(F.col(name))
+
+    renumber = touched.filter("_steps").drop(*_NUMBERED)
+    numbered = number_rows(renumber, silver.STEPS, large_groups(renumber, "admission_id", row_limit))
+    rows = numbered.unionByName(touched.filter(F.col("_steps").isNull()))
+    stats = spread.cost_statistics(touched.filter("_costs"), "procedure_code", "cost")
+    joined = spread.attach(rows, stats, "procedure_code")
+    chosen = lambda name, c: F.when(F.col("_costs"), c).otherwise(F.col(name))
     out = joined.withColumns(
         {
             "avg_cost_for_procedure": chosen("avg_cost_for_procedure", F.col("mean")),

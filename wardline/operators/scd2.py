@@ -71,9 +71,9 @@ def next_snapshot(
 def overlapping_versions(history: DataFrame, key: str) -> DataFrame:
     """Versions that start before the one before them has ended; must be empty."""
     by_start = W.partitionBy(key).orderBy("valid_from")
-    return history.withColumn("_until", F.lag("valid_to").over(by_start)).filter(
-        F.col("_until").isNull() & (F.row_number().over(by_start) > 1) | (F.col("_until") > F.col("valid_from"))
-    )
+    ordered = history.withColumns({"_n": F.row_number().over(by_start), "_until": F.lag("valid_to").over(by_start)})
+    open_before = (F.col("_n") > 1) & F.col("_until").isNull()
+    return ordered.filter(open_before | (F.col("_until") > F.col("valid_from"))).drop("_n", "_until")
 
 
 def history_view(

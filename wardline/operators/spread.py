@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from wardline.session import written
+
 # Values are handled as whole hundredths; a bin holds at most BIN distinct ones.
 BIN = 1_000_000
 
@@ -20,8 +22,9 @@ def cost_statistics(df: DataFrame, key: str, value: str, percent: int = 99) -> D
     Everything is exact integer arithmetic until the last step, so results do not depend on the
     order in which partial sums meet:
 
-    * pass 1 sums per (key, bin) on the map side; bins roll up to count, mean and deviation, and a
-      running count over bins tells which bins hold the two ranks the percentile lies between;
+    * pass 1 sums per (key, bin) on the map side. One window over the bins of a key gives its
+      totals and a running count, which tells the bins that hold the two ranks the percentile lies
+      between. These rows, two per key at most, are written out;
     * pass 2 counts distinct values in just those bins and picks the two values.
 
     A window never covers more than the bins of a key or the distinct values of a bin.
@@ -29,89 +32,91 @@ def cost_statistics(df: DataFrame, key: str, value: str, percent: int = 99) -> D
     """
     cents = df.filter(F.col(value).isNotNull()).select(key, hundredths(F.col(value)).alias("_v"))
     cents = cents.withColumn("_bin", F.floor(F.col("_v") / F.lit(BIN)).cast("long"))
-    big = F.col("_v").cast("decimal(14,0)")
+    edges = written(_edge_bins(_bin_sums(cents, key), key, percent), "percentile-bins")
 
-    bins = cents.groupBy(key, "_bin").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(big).cast("decimal(24,0)").alias("_s"),
-        F.sum((big * big).cast("decimal(28,0)")).alias("_q"),
-        F.avg(F.col("_v").cast("double")).alias("_m"),
-        (F.var_pop(F.col("_v").cast("double")) * F.count(F.lit(1))).alias("_w"),
-    )
-    moments = _moments(bins, key)
-    ranks = moments.select(
-        F.col(key).alias("_k"),
-        (((F.col("n") - 1) * percent - _over(percent)) / 100).cast("long").alias("_lo"),
-        _over(percent).alias("_frac"),
-    ).withColumn("_hi", F.col("_lo") + F.when(F.col("_frac") > 0, 1).otherwise(0))
-
-    running = W.partitionBy(key).orderBy("_bin")
-    placed = bins.select(
-        key,
-        "_bin",
-        F.coalesce(F.sum("_n").over(running.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.sum("_n").over(running).alias("_upto"),
-    )
-    covers = lambda rank, first, end: (F.col(rank) >= F.col(first)) & (F.col(rank) < F.col(end))
-    needed = (
-        placed.join(ranks, placed[key].eqNullSafe(ranks["_k"]))
-        .filter(covers("_lo", "_before", "_upto") | covers("_hi", "_before", "_upto"))
-        .select("_k", F.col("_bin").alias("_b"), "_before", "_lo", "_hi", "_frac")
-    )
+    needed = edges.select("_k", F.col("_bin").alias("_b"), "_before", "_lo", "_hi")
     counted = (
-        cents.join(needed, cents[key].eqNullSafe(needed["_k"]) & (cents["_bin"] == needed["_b"]))
-        .groupBy("_k", "_b", "_before", "_lo", "_hi", "_frac", "_v")
+        cents.join(needed, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_bin") == F.col("_b")))
+        .groupBy("_k", "_b", "_before", "_lo", "_hi", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     inside = W.partitionBy("_k", "_b").orderBy("_v")
     valued = counted.withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
     valued = valued.withColumn("_start", F.col("_end") - F.col("_n"))
-    percentiles = (
-        valued.groupBy("_k", "_frac")
-        .agg(
-            F.max(F.when(covers("_lo", "_start", "_end"), F.col("_v"))).alias("_a"),
-            F.max(F.when(covers("_hi", "_start", "_end"), F.col("_v"))).alias("_z"),
-        )
-        .select("_k", (F.col("_a") * (100 - F.col("_frac")) + F.col("_z") * F.col("_frac")).alias("percentile_x100"))
+    values = valued.groupBy(F.col("_k").alias("_vk")).agg(
+        F.max(F.when(_covers("_lo", "_start", "_end"), F.col("_v"))).alias("_a"),
+        F.max(F.when(_covers("_hi", "_start", "_end"), F.col("_v"))).alias("_z"),
     )
-    return moments.join(percentiles, moments[key].eqNullSafe(percentiles["_k"])).drop("_k")
+    per_key = edges.filter(_covers("_lo", "_before", "_upto"))  # exactly one bin per key
+    stats = per_key.join(values, F.col("_k").eqNullSafe(F.col("_vk"))).select(
+        F.col("_k").alias(key),
+        "n",
+        "total",
+        "mean",
+        "deviation",
+        (F.col("_a") * (100 - F.col("_frac")) + F.col("_z") * F.col("_frac")).alias("percentile_x100"),
+    )
+    return written(stats, "statistics")
 
 
-def _over(percent: int) -> Column:
-    return ((F.col("n") - 1) * percent) % 100
+def _covers(rank: str, first: str, end: str) -> Column:
+    return (F.col(rank) >= F.col(first)) & (F.col(rank) < F.col(end))
 
 
-def _moments(bins: DataFrame, key: str) -> DataFrame:
-    total = bins.groupBy(key).agg(
-        F.sum("_n").alias("n"),
-        F.sum("_s").cast("decimal(30,0)").alias("total"),
-        F.sum("_q").cast("decimal(38,0)").alias("_q"),
+def _bin_sums(cents: DataFrame, key: str) -> DataFrame:
+    big, real = F.col("_v").cast("decimal(14,0)"), F.col("_v").cast("double")
+    return cents.groupBy(key, "_bin").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(big).cast("decimal(24,0)").alias("_s"),
+        F.sum((big * big).cast("decimal(28,0)")).alias("_q"),
         # the same spread from doubles, used only where the exact product leaves 38 digits
-        F.sum("_w").alias("_w"),
-        F.sum(F.col("_n") * F.col("_m") * F.col("_m")).alias("_nm2"),
-        F.sum(F.col("_n") * F.col("_m")).alias("_nm"),
+        F.avg(real).alias("_m"),
+        (F.var_pop(real) * F.count(F.lit(1))).alias("_w"),
     )
+
+
+def _edge_bins(bins: DataFrame, key: str, percent: int) -> DataFrame:
+    """The bins around the percentile, with the totals of their key."""
+    running = W.partitionBy(key).orderBy("_bin")
+    whole = running.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     n = F.col("n")
-    wide = n.cast("decimal(18,0)")
+    tallied = bins.select(
+        F.col(key).alias("_k"),
+        "_bin",
+        F.coalesce(F.sum("_n").over(running.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_n").over(running).alias("_upto"),
+        F.sum("_n").over(whole).alias("n"),
+        F.sum("_s").over(whole).cast("decimal(30,0)").alias("total"),
+        F.sum("_q").over(whole).cast("decimal(38,0)").alias("_q"),
+        F.sum("_w").over(whole).alias("_w"),
+        F.sum(F.col("_n") * F.col("_m") * F.col("_m")).over(whole).alias("_nm2"),
+        F.sum(F.col("_n") * F.col("_m")).over(whole).alias("_nm"),
+    ).withColumn("_frac", ((n - 1) * percent) % 100)
+    tallied = tallied.withColumn("_lo", (((n - 1) * percent - F.col("_frac")) / 100).cast("long"))
+    tallied = tallied.withColumn("_hi", F.col("_lo") + F.when(F.col("_frac") > 0, 1).otherwise(0))
+    edges = tallied.filter(_covers("_lo", "_before", "_upto") | _covers("_hi", "_before", "_upto"))
+    return edges.select(
+        "_k", "_bin", "_before", "_upto", "_lo", "_hi", "_frac", "n", "total", _mean().alias("mean"), _deviation().alias("deviation")
+    )
+
+
+def _deviation() -> Column:
+    n, total = F.col("n"), F.col("total")
     exact = F.try_subtract(
-        F.try_multiply(F.col("_q"), wide).cast("decimal(38,0)"),
-        F.try_multiply(F.col("total"), F.col("total")).cast("decimal(38,0)"),
-    ).cast("double") / (n * (n - 1).cast("double"))
-    rough = F.greatest(F.col("_w") + F.col("_nm2") - F.col("_nm") * F.col("_nm") / n, F.lit(0.0)) / (n - 1)
-    deviation = F.when(n > 1, F.sqrt(F.coalesce(exact, rough)))
-    # mean rounded half up to hundredths, from quotient and remainder
-    left_over = F.col("total") % wide
-    cut = ((F.col("total") - left_over) / wide).cast("decimal(24,0)")
+        F.try_multiply(F.col("_q"), n.cast("decimal(18,0)")).cast("decimal(38,0)"),
+        F.try_multiply(total, total).cast("decimal(38,0)"),
+    ).cast("double") / F.when(n > 1, n * (n - 1).cast("double"))
+    rough = F.greatest(F.col("_w") + F.col("_nm2") - F.col("_nm") * F.col("_nm") / n, F.lit(0.0)) / F.when(n > 1, n - 1)
+    return F.sqrt(F.coalesce(exact, rough))
+
+
+def _mean() -> Column:
+    """Rounded half up to hundredths, from quotient and remainder."""
+    wide, total = F.col("n").cast("decimal(18,0)"), F.col("total")
+    left_over = total % wide
+    cut = ((total - left_over) / wide).cast("decimal(24,0)")
     mean = cut + F.when(F.abs(left_over) * 2 >= wide, F.signum(left_over).cast("decimal(1,0)")).otherwise(0)
-    return total.select(
-        key,
-        "n",
-        "total",
-        (mean.cast("decimal(24,0)") / F.lit(100).cast("decimal(3,0)"))
-        .cast("decimal(14,2)")
-        .alias("mean"),
-        deviation.alias("deviation"),
-    )
+    return (mean.cast("decimal(24,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(14,2)")
 
 
 def z_score(value: Column) -> Column:
@@ -128,7 +133,11 @@ def above_percentile(value: Column) -> Column:
 
 
 def attach(df: DataFrame, stats: DataFrame, key: str) -> DataFrame:
-    """Left join on the key, null-safe. The statistics side is one row per key: Spark broadcasts it
-    when its measured size allows and otherwise splits hot keys of the row side at run time."""
+    """Left join on the key, null-safe.
+
+    The statistics are a written table, so Spark knows their size when it plans: below the
+    broadcast threshold the rows are not shuffled at all, above it hot keys of the row side are
+    split at run time.
+    """
     renamed = stats.withColumnRenamed(key, "_k")
-    return df.join(renamed, df[key].eqNullSafe(renamed["_k"]), "left").drop("_k")
+    return df.join(renamed, F.col(key).eqNullSafe(F.col("_k")), "left").drop("_k")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,7 +63,7 @@ class Stores:
 
 def gate_batch(
     lines: DataFrame,
-    manifest: DataFrame,
+    manifest: DataFrame | Callable[[DataFrame], DataFrame],
     stores: Stores,
     batch_id: str,
     at: dt.datetime,
@@ -72,14 +73,16 @@ def gate_batch(
     """One batch of files through the gate. Safe to repeat with the same ``batch_id``.
 
     The text is read and cut once, into a table stored by feed; headers, checks and load read that
-    table. With ``keep_lines`` quarantined lines are written out, for sources that leave no file to
-    move.
+    table. ``manifest`` may be made from it. With ``keep_lines`` quarantined lines are written out,
+    for sources that leave no file to move.
     """
     stamp = F.lit(at).cast("timestamp_ntz")
     parsed = written(files.parsed_lines(lines), "parsed", "feed")
     headers = written(files.file_header(parsed), "headers")
     staged = files.staged_rows(parsed, headers)
-    plan = c.file_plan(manifest, headers)
+    if callable(manifest):
+        manifest = manifest(parsed)
+    plan = written(c.file_plan(manifest, headers), "file-plan")
     results = written(c.check_rows(plan, staged, limits), "checks")
     verdicts = written(c.file_verdicts(results), "verdicts")
     kept = files.lenient_load(staged).groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))

@@ -37,7 +37,7 @@ def all_checks(spark, sf):
     headers = written(files.file_header(parsed), "headers")
     staged = files.staged_rows(parsed, headers)
     manifest = files.recognised(g.gate_manifest(spark, sf))
-    return c.check_rows(c.file_plan(manifest, headers), staged)
+    return c.check_rows(written(c.file_plan(manifest, headers), "file-plan"), staged)
 
 
 def verdicts(spark, sf):

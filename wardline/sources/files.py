@@ -136,9 +136,11 @@ def expected_width() -> Column:
 def parsed_lines(lines: DataFrame) -> DataFrame:
     """Lines of known feeds cut into cells. Meant to be written once: headers, checks and load all
     read it, and a line number then stays what it is, however often the files are planned."""
-    return lines.withColumn("feed", feed_of(F.col("file_name"))).filter(F.col("feed").isNotNull()).select(
+    known = lines.withColumn("feed", feed_of(F.col("file_name"))).filter(F.col("feed").isNotNull())
+    return known.select(
         "file_name",
         "feed",
+        *[c for c in ("file_size",) if c in lines.columns],
         "upload_dttm",
         "block_start",
         "line_no",

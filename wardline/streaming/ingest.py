@@ -25,13 +25,13 @@ from wardline.sources import files
 MANIFEST = ["file_name", "size"]
 
 
-def _batch_manifest(spark: SparkSession, lines: DataFrame, incoming: str, stores: Stores) -> DataFrame:
+def _batch_manifest(spark: SparkSession, parsed: DataFrame, incoming: str, stores: Stores) -> DataFrame:
     """Files of the micro-batch, and empty files of the folder that no log knows yet.
 
     An empty file has no line and so never shows up in the stream itself; it is picked up along
     with the next batch.
     """
-    seen = lines.groupBy("file_name").agg(F.max("file_size").alias("size"))
+    seen = parsed.groupBy("file_name").agg(F.max("file_size").alias("size"))
     empty = files.file_manifest(spark, incoming).filter("size = 0").select(*MANIFEST)
     if _exists(spark, stores.log("file_processing_log")):
         log = spark.read.parquet(stores.log("file_processing_log")).select(F.col("file_name").alias("_f"))
@@ -61,9 +61,8 @@ def gate_stream(
 
     def handle(batch: DataFrame, number: int) -> None:
         batch_id, at = f"batch-{number:08d}", clock()
-        lines = written(files.numbered(batch), "arrived")
-        manifest = written(_batch_manifest(spark, lines, incoming, stores), "manifest")
-        run = gate_batch(lines, manifest, stores, batch_id, at, limits, keep_lines=True)
+        manifest = lambda parsed: _batch_manifest(spark, parsed, incoming, stores)
+        run = gate_batch(files.numbered(batch), manifest, stores, batch_id, at, limits, keep_lines=True)
         if after:
             after(batch_id, at)
         if on_run:
