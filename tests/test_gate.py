@@ -187,9 +187,9 @@ def test_strict_load_is_all_or_nothing(spark, folder):
     stores = ingest.Stores(scratch_path(spark, "stores"))
     with pytest.raises(bronze.StrictLoadError, match="bad department.*bad patient_id|bad patient_id.*bad department"):
         ingest.run_gate(spark, str(folder), stores, "r1", AT)
-    from wardline.streaming.ingest import _exists
+    from wardline.sinks.tables import path_exists
 
-    assert not _exists(spark, stores.landing("insurance_claims"))
+    assert not path_exists(spark, stores.landing("insurance_claims"))
 
 
 def test_preflight(spark, folder):

@@ -73,9 +73,16 @@ def key_range(key: str, width: int):
     return F.floor(F.coalesce(F.col(key).cast("long"), F.lit(0)) / F.lit(width)).cast("long")
 
 
-def write_keyed(df: DataFrame, path: str, key: str, width: int = 10_000_000) -> None:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def write_keyed(df: DataFrame, path: str, key: str, width: int = 10_000_000, replace: bool = False) -> None:
     """A table stored by ranges of a numeric key, so that an upsert can leave most of it alone.
 
+    ``replace`` drops the ranges ``df`` does not have; without it they stay.
+
     Rows are spread over tasks by range and a hash of the key, so one crowded range does not
     become one task.
     """
@@ -83,7 +90,7 @@ def write_keyed(df: DataFrame, path: str, key: str, width: int = 10_000_000) ->
     (
         out.repartition("key_range", F.pmod(F.xxhash64(key), F.lit(16)))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace else "dynamic")
         .partitionBy("key_range")
         .parquet(path)
     )

@@ -19,7 +19,7 @@ from wardline.plans import silver
 from wardline.plans.ingest import GateRun, Stores, gate_batch, utc_now
 from wardline.session import written
 from wardline.sinks import bronze
-from wardline.sinks.tables import read_keyed, upsert_keyed, write_keyed
+from wardline.sinks.tables import path_exists, read_keyed, upsert_keyed, write_keyed
 from wardline.sources import files
 
 MANIFEST = ["file_name", "size"]
@@ -33,7 +33,7 @@ def _batch_manifest(spark: SparkSession, parsed: DataFrame, incoming: str, store
     """
     seen = parsed.groupBy("file_name").agg(F.max("file_size").alias("size"))
     empty = files.file_manifest(spark, incoming).filter("size = 0").select(*MANIFEST)
-    if _exists(spark, stores.log("file_processing_log")):
+    if path_exists(spark, stores.log("file_processing_log")):
         log = spark.read.parquet(stores.log("file_processing_log")).select(F.col("file_name").alias("_f"))
         empty = empty.join(log, F.col("file_name") == F.col("_f"), "left_anti")
     return files.recognised(seen.unionByName(empty))
@@ -80,11 +80,6 @@ def silver_path(stores: Stores, name: str) -> str:
     return f"{stores.root}/staging/{name}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def silver_upsert(spark: SparkSession, stores: Stores, as_of: str | None = None) -> Callable[[str, dt.datetime], None]:
     """Bring the cleaned tables up to date with one landed batch.
 
@@ -105,13 +100,13 @@ def silver_upsert(spark: SparkSession, stores: Stores, as_of: str | None = None)
         }
         for feed, (name, build, rewrite) in models.items():
             cfg = FEEDS[feed]
-            if not _exists(spark, stores.landing(feed)):
+            if not path_exists(spark, stores.landing(feed)):
                 continue
             fresh = bronze.read_landing(spark, stores.landing(feed), cfg, batch_id)
             if fresh.isEmpty():
                 continue
             path = silver_path(stores, name)
-            if _exists(spark, path):
+            if path_exists(spark, path):
                 rows = written(rewrite(read_keyed(spark, path), fresh), "rewritten")
                 upsert_keyed(spark, path, rows, cfg.key)
             else:
