@@ -20,7 +20,7 @@ from wardline.plans import gold, silver
 from wardline.plans.ingest import Stores
 from wardline.session import written
 from wardline.sinks import bronze
-from wardline.sinks.tables import path_exists, read_keyed, upsert_keyed, write_keyed
+from wardline.sinks.tables import clear_mark, path_exists, read_keyed, set_mark, upsert_keyed, write_keyed
 from wardline.sources.seeds import seed_scan
 from wardline.sources.spine import DEFAULT_DAYS, DEFAULT_START, date_spine
 
@@ -65,25 +65,32 @@ class Pipeline:
         to_fact: Callable[[DataFrame], DataFrame],
         full: bool,
     ) -> None:
-        """Cleaned table and fact of a feed; only touched rows unless ``full`` or new."""
+        """Cleaned table and fact of a feed; only touched rows unless ``full`` or new.
+
+        The fact is compared with the rows just rewritten, not with the whole cleaned table. A mark
+        is set while the two tables may disagree; a run that finds one, left by a run that stopped
+        in between, compares everything once.
+        """
         if not path_exists(self.spark, self.stores.landing(cfg.name)):
             landed = self.spark.createDataFrame([], cfg.landing_schema)
         else:
             landed = bronze.read_landing(self.spark, self.stores.landing(cfg.name), cfg)
         fact, key = name.replace("stg_", "fct_"), KEYED[name]
-        if full or not path_exists(self.spark, self.path(name)):
+        full = full or not (path_exists(self.spark, self.path(name)) and path_exists(self.spark, self.path(fact)))
+        mark = f"{self.stores.root}/pending/{name}"
+        repair = path_exists(self.spark, mark)
+        set_mark(self.spark, mark)
+        if full:
             write_keyed(build(landed), self.path(name), key, replace=True)
+            write_keyed(to_fact(self.table(name)), self.path(fact), key, replace=True)
         else:
             target = self.table(name)
             rows = written(rewrite(target, inc.watermark_filter(landed, target)), "rewritten")
             upsert_keyed(self.spark, self.path(name), rows, key)
-        # facts follow every difference, so a run that stopped between the two tables catches up
-        cleaned = self.table(name)
-        if full or not path_exists(self.spark, self.path(fact)):
-            write_keyed(to_fact(cleaned), self.path(fact), key, replace=True)
-        else:
+            cleaned = self.table(name) if repair else rows
             changed = written(inc.incr_facts(self.table(fact), cleaned, to_fact, key), "changed")
             upsert_keyed(self.spark, self.path(fact), changed, key)
+        clear_mark(self.spark, mark)
 
     # ── snapshot: one folder per run, never rewriting the one it reads ──────────────────────────
 

@@ -78,6 +78,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def set_mark(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True).close()
+
+
+def clear_mark(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, False)
+
+
 def write_keyed(df: DataFrame, path: str, key: str, width: int = 10_000_000, replace: bool = False) -> None:
     """A table stored by ranges of a numeric key, so that an upsert can leave most of it alone.
 
