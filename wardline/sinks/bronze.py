@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,7 +76,3 @@ def read_landing(spark, path: str, cfg: FeedConfig, batch_id: str | None = None)
     if batch_id is not None:
         df = df.filter(F.col("batch_id") == batch_id)
     return df.select(*cfg.columns, *LINEAGE)
-
-
-def newer_than(landed: DataFrame, moment: Column) -> DataFrame:
-    return landed.filter(F.col("load_dttm") > moment)
