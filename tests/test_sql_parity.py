@@ -4,8 +4,9 @@ import pytest
 from oracle import compare, duck
 
 import __spark_entry__ as e
+from wardline.registry import catalog
 
-QUERIES, SQL = e.queries(), e.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
