@@ -66,7 +66,7 @@ def _cut(block_tokens: int):
             vocab = np.fromiter((xxhash.xxh64_intdigest(w) for w in numbers), "u8", len(numbers))
             row = {
                 "block_id": (part << 32) + serial, "doc_ids": hold["doc_ids"], "training": hold["training"],
-                "ends": hold["ends"], "tokens": np.concatenate(hold["tokens"]).tobytes(),
+                "ends": hold["ends"], "tokens": _pack(np.concatenate(hold["tokens"])),
                 "vocab": vocab.tobytes(), "entries": hold["n"],
             }
             fresh()
@@ -91,12 +91,22 @@ def _cut(block_tokens: int):
     return run
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Bytes of an array, those of equal weight together: sorted and small numbers compress well so."""
+    return values.view("u1").reshape(-1, values.itemsize).T.tobytes()
+
+
+def _unpack(raw: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, "u1").reshape(width, -1).T).view(kind).ravel()
+
+
 class Grams:
     """The distinct n-grams of a block, sorted by hash, and where each position's n-gram is."""
 
     def __init__(self, row, order: int):
         vocab = np.append(np.frombuffer(row["vocab"], "u8"), END)
-        tokens = np.frombuffer(row["tokens"], "<i4")
+        tokens = _unpack(row["tokens"], "<i4")
         self.tokens = np.where(tokens < 0, len(vocab) - 1, tokens)
         self.ends = np.array(row["ends"], "i8")
         self.starts = np.r_[0, self.ends[:-1]]
@@ -138,7 +148,7 @@ def _count(order: int, ranges: int):
                     counts = np.bincount(inverse, training, len(keys)).astype("<u4")
                     cut = _slices(keys, ranges)
                     out += [
-                        (row["block_id"], r, m, keys[a:b].tobytes(), counts[a:b].tobytes())
+                        (row["block_id"], r, m, _pack(keys[a:b]), _pack(counts[a:b]))
                         for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a
                     ]
                 yield pd.DataFrame(out, columns=["block_id", "range", "level", "keys", "counts"])
@@ -149,8 +159,8 @@ def _count(order: int, ranges: int):
 def _merge(piece: pd.DataFrame) -> pd.DataFrame:
     """Sum one range's counts over all blocks; answer each block in the order of its keys."""
     lengths = np.array([len(k) // 8 for k in piece["keys"]])
-    keys = np.concatenate([np.frombuffer(k, "u8") for k in piece["keys"]])
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in piece["counts"]])
+    keys = np.concatenate([_unpack(k, "u8") for k in piece["keys"]])
+    counts = np.concatenate([_unpack(c, "<u4") for c in piece["counts"]])
     _, inverse = np.unique(keys, return_inverse=True)
     sums = np.bincount(inverse, counts)
     totals = sums[inverse].astype("<u8")
@@ -163,7 +173,7 @@ def _merge(piece: pd.DataFrame) -> pd.DataFrame:
     at = np.r_[0, lengths.cumsum()]
     return pd.DataFrame({
         "block_id": piece["block_id"], "range": piece["range"], "level": piece["level"],
-        "width": small.itemsize, "totals": [small[a:b].tobytes() for a, b in zip(at[:-1], at[1:])],
+        "width": small.itemsize, "totals": [_pack(small[a:b]) for a, b in zip(at[:-1], at[1:])],
         "n_tokens": n[0], "n_types": n[1],
     })
 
@@ -248,7 +258,7 @@ def _score(order: int, texts: int, n: int, v: int, strength: float, growth: floa
         answers = answers.sort_values(["level", "range"])
         for m in range(1, order + 1):
             own = answers[answers["level"] == m]
-            totals.append(np.concatenate([np.frombuffer(t, f"<u{w}") for t, w in zip(own["totals"], own["width"])]).astype("i8"))
+            totals.append(np.concatenate([_unpack(t, f"<u{w}") for t, w in zip(own["totals"], own["width"])]).astype("i8"))
         automaton = Automaton(g, totals, texts, n, v, strength, growth)
         base = np.log10((automaton.seen + 1.0) / (n + v + 1.0))
         scores = [automaton.traverse(g.tokens[a:b].tolist()) for a, b in zip(g.starts, g.ends)]
