@@ -11,7 +11,7 @@ others, only shared sub-keys form table keys. Links are confirmed on full shingl
 1. each class is checked against the smallest class of all its tables; confirmed links make components;
 2. in each table that still holds several components, members of different components whose
    sizes and bit sketches allow the threshold are checked, so that no link is lost to the choice of
-   representatives. Members of one component are never paired with each other.
+   representatives: the most alike pairs first, then all. Members of one component are never paired.
 No table is gathered in one task: tables are aggregated to their smallest member and joined back,
 and joins are split where they are skewed.
 
@@ -25,15 +25,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import per_text, words
+from wardline.llm.common import partitions, per_text, words
 from wardline.session import written
 
 CACHE_WORDS = 500_000
+EARLY = (8, 14)  # differing sketch fields allowed in the early rounds of step 2
 
 
 class _Hashes(dict):
@@ -127,24 +129,47 @@ def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = after.select("id", "component")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union of their shingle sets."""
+def numbered(components: DataFrame, size: int = 128) -> DataFrame:
+    """(id, block): blocks of at most ``size`` ids, of one component or neighbouring ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        at = TaskContext.get().partitionId() << 32
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), "u8"), np.frombuffer(y.as_buffer(), "u8")
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), max(0, len(y) - 1))
-                both = int((y[at] == x).sum()) if len(x) else 0
-                keep.append(100 * both >= percent * (len(x) + len(y) - both) > 0)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            block = (at + np.arange(batch.num_rows)) // size * size
+            at += batch.num_rows
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(block)], ["id", "block"])
+
+    parts = partitions(components.sparkSession)
+    ordered = components.repartitionByRange(parts, "component", "id").sortWithinPartitions("component", "id")
+    return written(ordered.select("id").mapInArrow(run, "id long, block long"), "dup-blocks")
+
 
-    of = lambda side, name: sets.select(F.col("id").alias(side), F.col("shingles").alias(name))
-    loaded = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y")
-    return loaded.mapInArrow(run, "a long, b long").distinct()
+def confirmed(pairs: DataFrame, sets: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) with 100 * intersection >= percent * union of their shingle sets.
+
+    Pairs are dealt by the blocks of their ends; a task loads each set of two blocks once, however
+    many pairs it is in.
+    """
+    blocks = numbered(components)
+    of = lambda node, name: blocks.select(F.col("id").alias(node), F.col("block").alias(name))
+    dealt = written(pairs.join(of("a", "p"), "a").join(of("b", "q"), "b"), "dup-dealt")
+    ends = dealt.select("p", "q", F.col("a").alias("id")).union(dealt.select("p", "q", "b")).distinct()
+    loaded = ends.join(sets, "id").select(F.col("p").alias("r"), F.col("q").alias("s"), "id", "shingles")
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        own = {i: np.frombuffer(x, "u8") for i, x in zip(right["id"], right["shingles"])}
+        keep = []
+        for a, b in zip(left["a"].tolist(), left["b"].tolist()):
+            x, y = own[a], own[b]
+            if len(x) > len(y):
+                x, y = y, x
+            both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            keep.append(100 * both >= percent * (len(x) + len(y) - both))
+        return left.loc[keep, ["a", "b"]] if len(left) else left[["a", "b"]]
+
+    return dealt.groupBy("p", "q").cogroup(loaded.groupBy("r", "s")).applyInPandas(run, "a long, b long")
 
 
 def _differing(x: str, y: str) -> Column:
@@ -159,13 +184,69 @@ def _differing(x: str, y: str) -> Column:
     return total
 
 
+def across_components(
+    members: DataFrame, components: DataFrame, described: DataFrame, percent: int, most_differing: int
+) -> DataFrame:
+    """Pairs (a < b) that share a table, lie in different components, and whose sizes and sketches
+    allow the threshold."""
+    placed = members.select("bucket", "id").join(components, "id")
+    groups = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p != q")
+    mixed = written(placed.join(groups.select("bucket"), "bucket").join(described, "id"), "dup-mixed")
+    bits = ("sketch1", "sketch2")
+    # What all members of a component agree on bounds what any two members can have in common.
+    kinds = mixed.groupBy("bucket", "component").agg(
+        F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"),
+        *[F.bit_and(b).alias(f"{b}_all") for b in bits], *[F.bit_or(b).alias(f"{b}_any") for b in bits],
+    )
+    across = kinds.alias("s").join(
+        kinds.alias("t"),
+        (F.col("s.bucket") == F.col("t.bucket")) & (F.col("s.component") < F.col("t.component"))
+        & (100 * F.col("s.high") >= percent * F.col("t.low")) & (100 * F.col("t.high") >= percent * F.col("s.low"))
+        & (_differing("s", "t") <= most_differing),
+    ).select(F.col("s.bucket").alias("bucket"), F.col("s.component").alias("p"), F.col("t.component").alias("q"))
+    member = lambda name: mixed.select(
+        "bucket", "component", "id", F.col("n_shingles").alias("low"),
+        *[F.col(b).alias(f"{b}_{end}") for b in bits for end in ("all", "any")],
+    ).alias(name)
+    x, y = member("x"), member("y")
+    own = [F.col(f"x.{c}").alias(c) for c in x.columns if c not in ("bucket", "component")]
+    half = across.alias("k").join(
+        x, (F.col("k.bucket") == F.col("x.bucket")) & (F.col("k.p") == F.col("x.component"))
+    ).select(F.col("k.bucket").alias("bucket"), F.col("k.q").alias("q"), *own)
+    small, large = F.least("x.low", "y.low"), F.greatest("x.low", "y.low")
+    pairs = half.alias("x").join(
+        y,
+        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.q") == F.col("y.component"))
+        & (100 * small >= percent * large) & (_differing("x", "y") <= most_differing),
+    )
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links (a, b) between their members."""
+    if links.isEmpty():
+        return components
+    of = lambda node, name: components.select(F.col("id").alias(node), F.col("component").alias(name))
+    ends = written(
+        links.join(of("a", "p"), "a").join(of("b", "q"), "b").select(F.col("p").alias("a"), F.col("q").alias("b"))
+        .filter("a != b").distinct(),
+        "dup-ends",
+    )
+    joined = connected(ends.select(F.col("a").alias("id")).union(ends.select("b")).distinct(), ends)
+    after = joined.select(F.col("id").alias("component"), F.col("component").alias("final"))
+    return written(
+        components.join(after, "component", "left").select("id", F.coalesce("final", "component").alias("component")),
+        "dup-components",
+    )
+
+
 def near_duplicates(
-    docs: DataFrame, k: int = 5, percent: int = 80, rows: int = 3, bands: int = 12, most_differing: int = 22
+    docs: DataFrame, k: int = 5, percent: int = 80, rows: int = 3, bands: int = 12, most_differing: int = 20
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs`` (doc_id, text).
 
     ``most_differing``: of the 64 two-bit fields of the sketches, so many may differ in a pair that is
-    checked in step 2. At similarity 0.8 the number is binomial (64, 0.15), and above 22 once in 30,000.
+    checked in step 2. At similarity 0.8 the number is binomial (64, 0.15), and above 20 twice in 10,000.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(signatures(source, k, rows, bands), "dup-signatures")
@@ -190,7 +271,7 @@ def near_duplicates(
     )
     tables = (
         alive.select("id", F.explode("l").alias("x"), "r").select("id", "x", F.explode("r").alias("y"))
-        .select("id", F.xxhash64("x", "y").alias("bucket"))
+        .select("id", F.xxhash64("x", "y").alias("bucket"), (F.col("y.i") - F.col("x.i") == bands).alias("diagonal"))
     )
     tables = written(tables, "dup-tables")
     leaders = tables.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader != last")
@@ -204,56 +285,21 @@ def near_duplicates(
         "dup-sets",
     )
     first = members.filter("id != leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a"))
-    links = written(confirmed(first, sets, percent), "dup-links")
     nodes = written(wanted, "dup-nodes")
+    alone = nodes.select("id", F.col("id").alias("component"))
+    links = written(confirmed(first, sets, alone, percent), "dup-links")
     components = connected(nodes, links)
-    # Tables that still hold several components: pairs across components only.
-    placed = members.select("bucket", "id").join(components, "id")
-    groups = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p != q")
-    bits = ("sketch1", "sketch2")
-    mixed = written(
-        placed.join(groups.select("bucket"), "bucket").join(classes.select("id", "n_shingles", *bits), "id"), "dup-mixed"
-    )
-    # What all members of a component agree on bounds what any two members can have in common.
-    kinds = mixed.groupBy("bucket", "component").agg(
-        F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"),
-        *[F.bit_and(b).alias(f"{b}_all") for b in bits], *[F.bit_or(b).alias(f"{b}_any") for b in bits],
-    )
-    across = kinds.alias("s").join(
-        kinds.alias("t"),
-        (F.col("s.bucket") == F.col("t.bucket")) & (F.col("s.component") < F.col("t.component"))
-        & (100 * F.col("s.high") >= percent * F.col("t.low")) & (100 * F.col("t.high") >= percent * F.col("s.low"))
-        & (_differing("s", "t") <= most_differing),
-    ).select(F.col("s.bucket").alias("bucket"), F.col("s.component").alias("p"), F.col("t.component").alias("q"))
-    member = lambda name: mixed.select(
-        "bucket", "component", "id", F.col("n_shingles").alias("low"),
-        *[F.col(b).alias(f"{b}_{end}") for b in bits for end in ("all", "any")],
-    ).alias(name)
-    x, y = member("x"), member("y")
-    small, large = F.least("x.low", "y.low"), F.greatest("x.low", "y.low")
-    half = across.alias("k").join(
-        x, (F.col("k.bucket") == F.col("x.bucket")) & (F.col("k.p") == F.col("x.component"))
-    ).select(F.col("k.bucket").alias("bucket"), F.col("k.q").alias("q"), *[F.col(f"x.{c}").alias(c) for c in x.columns if c not in ("bucket", "component")])
-    pairs = half.alias("x").join(
-        y,
-        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.q") == F.col("y.component"))
-        & (100 * small >= percent * large) & (_differing("x", "y") <= most_differing),
-    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    checked = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
-    more = written(confirmed(pairs, sets, percent), "dup-links")
-    if not more.isEmpty():
-        old = components.select("id", "component")
-        ends = (
-            more.join(old.select(F.col("id").alias("a"), F.col("component").alias("p")), "a")
-            .join(old.select(F.col("id").alias("b"), F.col("component").alias("q")), "b")
-            .select(F.col("p").alias("a"), F.col("q").alias("b")).filter("a != b").distinct()
-        )
-        ends = written(ends, "dup-ends")
-        merged = connected(ends.select(F.col("a").alias("id")).union(ends.select("b")).distinct(), ends)
-        components = old.join(merged.select(F.col("id").alias("component"), F.col("component").alias("final")), "component", "left").select(
-            "id", F.coalesce("final", "component").alias("component")
-        )
+    checked = written(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "dup-checked")
+    described = classes.select("id", "n_shingles", "sketch1", "sketch2")
+    # The most alike first and from a twelfth of the tables, so that the last step, which leaves
+    # nothing out, finds most links already made and few pairs to check.
+    for limit in (*(x for x in EARLY if x < most_differing), most_differing):
+        used = members if limit == most_differing else members.filter("diagonal")
+        pairs = across_components(used, components, described, percent, limit)
+        pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "dup-pairs")
+        more = written(confirmed(pairs, sets, components, percent), "dup-links")
+        components = merged(components, more)
+        checked = checked.union(pairs)
     final = classes.select("copy", "id").join(components, "id", "left").select(
         "copy", F.coalesce("component", "id").alias("component")
     )
