@@ -192,3 +192,32 @@ def test_random_histories_never_overlap(spark, seed):
         h = written(scd2.next_snapshot(h, people(spark, **live), "id", CHECK, ntz(f"2024-03-0{day} 00:00:00")), "h")
     assert scd2.overlapping_versions(h, "id").isEmpty()
     assert {(x["id"], x["specialty"]) for x in h.filter("valid_to is null").collect()} == set(live.items())
+
+
+def test_ten_thousand_doctors_keep_their_ids(spark, tmp_path):
+    from wardline.registry import adapters
+
+    path = str(tmp_path / "supplier.parquet")
+    spark.range(1, 10_001).select(
+        F.col("id").alias("s_suppkey"), F.format_string("name %d", "id").alias("s_name"),
+        (F.col("id") % 25).cast("int").alias("s_nationkey"), F.lit("x").alias("s_address"), F.lit("1").alias("s_phone"),
+        F.lit(1.0).alias("s_acctbal"), F.lit("c").alias("s_comment"),
+    ).write.parquet(path)
+    ids = spark.read.parquet(path).select(
+        F.concat(F.lit("D"), adapters._padded(F.col("s_suppkey"), 3)).alias("doctor_id"), "s_name"
+    )
+    assert ids.select("doctor_id").distinct().count() == 10_000
+    assert ids.filter("doctor_id in ('D007', 'D10000')").count() == 2
+    first = scd2.first_snapshot(ids, "doctor_id", ntz("2024-01-01 00:00:00"))
+    again = scd2.next_snapshot(first, ids, "doctor_id", ["s_name"], ntz("2024-02-01 00:00:00"))
+    assert again.count() == 10_000
+
+
+def test_tasks_without_lines_get_the_generic_text(spark):
+    from wardline.operators import lognotes
+
+    lines = spark.createDataFrame([("a", 1, "Failure in test x")], "task_id string, line_no long, line string")
+    tasks = spark.createDataFrame([("a",), ("b",)], "task_id string")
+    got = {r["task_id"]: r["root_cause"] for r in lognotes.root_causes(lines, "task_id", tasks=tasks).collect()}
+    assert got["a"] == "Test failed: x"
+    assert got["b"] == lognotes.GENERIC_OTHER

@@ -13,6 +13,16 @@ from wardline.sources.spine import DEFAULT_DAYS, DEFAULT_START
 from wardline.streaming import ingest as stream
 
 
+def report(df, root: str | None, name: str) -> None:
+    """Write a result below ``root``, replacing the last one; without a root print all of it."""
+    if root:
+        path = f"{root}/reports/{name}"
+        df.write.mode("overwrite").parquet(path)
+        print(f"{name}: {df.sparkSession.read.parquet(path).count()} rows in {path}")
+    else:
+        df.show(max(1, df.count()), truncate=False)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="wardline")
     p.add_argument("step", choices=["preflight", "gate", "stream", "build", "test", "keys", "reconcile"])
@@ -27,7 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if a.step == "preflight":
         diff = ingest.preflight(spark, a.incoming)
-        diff.orderBy("file_name").show(1000, truncate=False)
+        report(diff, a.root, "preflight")
         ingest.problem_count(diff).show()
         return
     stores = Stores(a.root)
@@ -43,11 +53,11 @@ def main(argv: list[str] | None = None) -> None:
     if a.step == "build":
         pipeline.build(utc_now(), a.as_of, a.full)
     elif a.step == "test":
-        pipeline.test().show(100, truncate=False)
+        report(pipeline.test(), a.root, "tests")
     elif a.step == "keys":
-        pipeline.check_keys().show(100, truncate=False)
+        report(pipeline.check_keys(), a.root, "keys")
     else:
-        pipeline.reconcile().show(truncate=False)
+        report(pipeline.reconcile(), a.root, "reconcile")
 
 
 if __name__ == "__main__":

@@ -32,7 +32,7 @@ MEANINGS = {
     "trigger_healthcare_pipeline": "Failed to trigger the downstream healthcare_pipeline transform DAG.",
 }
 MEANING_OTHER = "A gatekeeper task failed."
-SHOWN = 5
+SHOWN = 5  # messages of a task that its text keeps unless told otherwise
 
 
 def looked_up(key: Column, texts: dict[str, str], default: str) -> Column:
@@ -63,18 +63,19 @@ def line_hits(line: Column) -> Column:
     return F.array_compact(F.array(*hits))
 
 
-def root_causes(lines: DataFrame, *task_keys: str) -> DataFrame:
+def root_causes(lines: DataFrame, *task_keys: str, shown: int = SHOWN, tasks: DataFrame | None = None) -> DataFrame:
     """One text per task from ``line_no, line`` rows; the last of ``task_keys`` is the task id.
 
-    Hits come pattern by pattern, each in line order, once, the first five, two blanks apart. Equal
-    messages are merged before the shuffle and only the first five of a task are ever gathered, so
-    a task that wrote most of the log is no burden.
+    Hits come pattern by pattern, each in line order, once, the first ``shown``, two blanks apart. Equal
+    messages are merged before the shuffle and only the first few of a task are ever gathered, so
+    a task that wrote most of the log is no burden. ``tasks`` (``task_keys``) are the failed tasks, also
+    those that wrote no line; by default those that wrote one.
     """
     keys = list(task_keys)
     hits = lines.select(*keys, "line_no", F.inline(line_hits(F.col("line"))))
     unique = hits.groupBy(*keys, "text").agg(F.min(F.struct("rank", "line_no")).alias("at"))
     order = W.partitionBy(*keys).orderBy("at")
-    top = unique.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= SHOWN)
+    top = unique.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= shown)
     joined = top.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", "text"))).alias("found"))
     found = joined.select(
         *[F.col(k).alias(f"_{k}") for k in keys],
@@ -83,7 +84,7 @@ def root_causes(lines: DataFrame, *task_keys: str) -> DataFrame:
     match = F.lit(True)
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    tasks = lines.select(*keys).distinct()
+    tasks = (lines if tasks is None else tasks).select(*keys).distinct()
     return tasks.join(found, match, "left").select(
         *keys, F.coalesce("found", generic_cause(F.col(keys[-1]))).alias("root_cause")
     )

@@ -30,7 +30,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _padded(c: Column, width: int) -> Column:
-    return F.lpad(c.cast("string"), width, "0")
+    """Zeros on the left up to ``width``; longer numbers keep all digits."""
+    text = c.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
 def _iso(c: Column) -> Column:

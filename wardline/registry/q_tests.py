@@ -96,11 +96,10 @@ def semi(spark, sf):
 
 
 def either(spark, sf):
-    """Landed treatments that share a procedure or an admission with a costly late one."""
+    """Landed treatments that share a procedure or an admission with a late one."""
     raw = table(spark, sf, "raw_treatments")
-    late = _later(spark, sf, "raw_treatments").filter(F.col("cost") > 94000)
-    procedures = late.filter(F.col("procedure_code") < " brand#2").select("procedure_code")
-    return joins.in_either(raw, procedures, "procedure_code", late, "admission_id").select(
+    late = _later(spark, sf, "raw_treatments")
+    return joins.in_either(raw, late, "procedure_code", late, "admission_id").select(
         "treatment_id", "admission_id", "procedure_code", "load_dttm", "doctor_id"
     )
 
@@ -248,8 +247,8 @@ ORACLE = {
     ),
     "disjunctive_semi_join": query(
         f"SELECT {shown('treatment_id', 'admission_id', 'procedure_code', 'load_dttm', 'doctor_id')} FROM raw_treatments "
-        "WHERE procedure_code IN (SELECT procedure_code FROM costly_late WHERE procedure_code < ' brand#2') OR admission_id IN (SELECT admission_id FROM costly_late)",
-        costly_late=f"SELECT * FROM raw_treatments WHERE NOT {m.split_filter()} AND cost > 94000",
+        "WHERE procedure_code IN (SELECT procedure_code FROM late_rows) OR admission_id IN (SELECT admission_id FROM late_rows)",
+        late_rows=f"SELECT * FROM raw_treatments WHERE NOT {m.split_filter()}",
     ),
     "not_exists": query("SELECT * FROM dim_insurance WHERE NOT EXISTS (SELECT 1 FROM raw_claims WHERE length(trim(insurance_id)) > 3)"),
     "anti_join_orphans": query("SELECT admission_id, hospital_sk FROM fct_admissions WHERE hospital_sk NOT IN (SELECT hospital_sk FROM dim_hospital)"),

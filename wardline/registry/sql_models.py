@@ -130,7 +130,7 @@ FROM (SELECT *, CASE WHEN o_orderstatus = 'P' THEN NULL
                      ELSE o_orderdate + to_days(CAST(o_orderkey % 45 AS INTEGER)) END AS settled FROM orders)"""
 
 RELATIONS["doctors"] = f"""
-SELECT 'D' || lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS doctor_id, s_name AS doctor_name,
+SELECT 'D' || lpad(CAST(s_suppkey AS VARCHAR), greatest(3, length(CAST(s_suppkey AS VARCHAR)))::INTEGER, '0') AS doctor_id, s_name AS doctor_name,
   list_extract([{", ".join(f"'{x}'" for x in SPECIALTIES)}], s_nationkey % {len(SPECIALTIES)} + 1) AS specialty,
   s_suppkey % 36 AS years_experience
 FROM supplier"""

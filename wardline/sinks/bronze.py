@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 
 from wardline.feeds import LINEAGE, FeedConfig
 from wardline.functions.numbers import try_number
+from wardline.session import scratch_path
+
+
+QUOTED = 20  # faults that an error message quotes; its table has all
 
 
 class StrictLoadError(ValueError):
@@ -42,12 +46,18 @@ def load_problems(typed: DataFrame) -> DataFrame:
 
 
 def strict_load(named: DataFrame, cfg: FeedConfig) -> DataFrame:
-    """All rows typed, or an error that names the files and columns at fault."""
+    """All rows typed, or an error that names where all files and columns at fault are listed.
+
+    The complete list is a written table; the message quotes its largest entries.
+    """
     typed = typed_rows(named, cfg)
-    found = load_problems(typed).orderBy(F.desc("bad_rows"), "file_name", "column_name").limit(20).collect()
-    if found:
-        listing = "; ".join(f"{r['file_name']}: {r['bad_rows']} rows with bad {r['column_name']}" for r in found)
-        raise StrictLoadError(f"{cfg.name} not loaded: {listing}")
+    path = scratch_path(named.sparkSession, "load-problems")
+    load_problems(typed).write.parquet(path)
+    problems = named.sparkSession.read.parquet(path)
+    worst = problems.orderBy(F.desc("bad_rows"), "file_name", "column_name").limit(QUOTED).collect()
+    if worst:
+        listing = "; ".join(f"{r['file_name']}: {r['bad_rows']} rows with bad {r['column_name']}" for r in worst)
+        raise StrictLoadError(f"{cfg.name} not loaded, {problems.count()} faults listed in {path}: {listing}")
     return typed.drop("bad_columns")
 
 
