@@ -172,21 +172,22 @@ def mixed_documents(docs: DataFrame, plan: DataFrame, seed: int = 17) -> DataFra
     """
     columns = docs.columns
     chosen = plan.filter("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), "size", "passes", "part"
+        F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"),
+        F.col("size").alias("_size"), F.col("passes").alias("_passes"), F.col("part").alias("_part"),
     ).dropDuplicates(["_id", "_key"])
     joined = docs.withColumn("_row", row_key(seed)).join(
         chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key"))
     )
     copies = F.concat(
-        F.array_repeat(F.col("size"), F.col("passes").cast("int")),
-        F.when(F.col("part") > 0, F.array(F.col("part"))).otherwise(F.array().cast("array<long>")),
+        F.array_repeat(F.col("_size"), F.col("_passes").cast("int")),
+        F.when(F.col("_part") > 0, F.array(F.col("_part"))).otherwise(F.array().cast("array<long>")),
     )
     # Cut before each word that follows a separator: a piece is a word and what follows it.
     pieces = F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     lead = F.when(F.col("text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
     cut = F.array_join(F.slice(pieces, F.lit(1), (F.col("_words") + lead).cast("int")), "")
     rows = joined.withColumn("_words", F.explode(copies)).withColumn(
-        "text", F.when(F.col("_words") == F.col("size"), F.col("text")).otherwise(cut)
+        "text", F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(cut)
     )
     if "n_chars" in columns:
         rows = rows.withColumn("n_chars", F.length("text").cast("long"))
