@@ -8,7 +8,10 @@ table with probability (1 - (1 - s^rows)^bands)^2, 0.9996 at s = 0.8 and 0.99999
 
 Copies (equal shingle sets) are one class first. A class whose sub-keys nobody shares leaves early; of the
 others, only shared sub-keys form table keys. Links are confirmed on full shingle sets:
-1. each class is checked against the smallest class of all its tables; confirmed links make components;
+1. each class is checked against the smallest class of all its tables, and against the ``PICKS`` most
+   alike of the classes that one draw per table picks; confirmed links make components. The draws of
+   different tables differ, so that a large group of near copies grows together although few of them
+   are alike enough to any one of them;
 2. in each table that still holds several components, members of different components whose
    sizes and bit sketches allow the threshold are checked, so that no link is lost to the choice of
    representatives: the most alike pairs first, then all. Members of one component are never paired.
@@ -35,6 +38,7 @@ from wardline.llm.common import partitions, per_text, words
 from wardline.session import written
 
 CACHE_WORDS = 500_000
+PICKS = 4
 EARLY = (8, 14)  # differing sketch fields allowed in the early rounds of step 2
 
 
@@ -222,6 +226,25 @@ def across_components(
     return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
+def drawn_pairs(members: DataFrame, described: DataFrame, percent: int, most_differing: int) -> DataFrame:
+    """Pairs (a < b) of each class and the ``PICKS`` most alike of the classes drawn in its tables: a
+    number of pairs that grows with the classes, whatever the size of their groups."""
+    draws = members.groupBy("bucket").agg(F.min_by("id", F.xxhash64("id", "bucket")).alias("pick"))
+    pairs = members.join(draws, "bucket").filter("id != pick").select("id", "pick").distinct()
+    side = lambda name: F.struct(
+        "n_shingles", *[F.col(b).alias(f"{b}_{end}") for b in ("sketch1", "sketch2") for end in ("all", "any")]
+    ).alias(name)
+    both = pairs.join(described.select("id", side("x")), "id").join(
+        described.select(F.col("id").alias("pick"), side("y")), "pick"
+    )
+    small, large = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
+    near = both.withColumn("d", _differing("x", "y")).filter((100 * small >= percent * large) & (F.col("d") <= most_differing))
+    # At most one draw per table of a class, so these lists are short.
+    best = near.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "pick"))), 1, PICKS).alias("best"))
+    named = best.select("id", F.explode("best.pick").alias("pick"))
+    return named.select(F.least("id", "pick").alias("a"), F.greatest("id", "pick").alias("b"))
+
+
 def merged(components: DataFrame, links: DataFrame) -> DataFrame:
     """Components after further links (a, b) between their members."""
     if links.isEmpty():
@@ -284,13 +307,14 @@ def near_duplicates(
         ).dropDuplicates(["id"]),
         "dup-sets",
     )
-    first = members.filter("id != leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a"))
+    described = classes.select("id", "n_shingles", "sketch1", "sketch2")
+    first = members.filter("id != leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a")).select("a", "b")
+    first = written(first.union(drawn_pairs(members, described, percent, most_differing)).distinct(), "dup-first")
     nodes = written(wanted, "dup-nodes")
     alone = nodes.select("id", F.col("id").alias("component"))
     links = written(confirmed(first, sets, alone, percent), "dup-links")
     components = connected(nodes, links)
-    checked = written(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "dup-checked")
-    described = classes.select("id", "n_shingles", "sketch1", "sketch2")
+    checked = first
     # The most alike first and from a twelfth of the tables, so that the last step, which leaves
     # nothing out, finds most links already made and few pairs to check.
     for limit in (*(x for x in EARLY if x < most_differing), most_differing):
