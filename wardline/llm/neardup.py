@@ -39,7 +39,7 @@ from wardline.session import written
 
 CACHE_WORDS = 500_000
 PICKS = 4
-EARLY = (8, 14)  # differing sketch fields allowed in the early rounds of step 2
+EARLY = (14,)  # differing sketch fields allowed in the early round of step 2
 
 
 class _Hashes(dict):
