@@ -28,10 +28,11 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.common import per_text
+from wardline.session import written
 
 # Punctuation of ASCII separates words here; it says nothing about toxicity.
 _BREAKS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
@@ -227,17 +228,21 @@ def train(
     labelled: DataFrame, rows_per_class: int = 3000, chars_per_class: int = 10_000_000, seed: int = 3
 ) -> Model:
     """From (doc_id, text, toxic): a bounded sample of each class in seeded order."""
-    by = Window.partitionBy("toxic").orderBy("_h", "doc_id")
     rows = (
         labelled.filter(F.col("toxic").isin(0, 1) & F.col("text").isNotNull())
         .select("toxic", "text", "doc_id", F.xxhash64(F.lit(seed), "doc_id", "text").alias("_h"))
-        .withColumn("_r", F.row_number().over(by)).filter(F.col("_r") <= rows_per_class)
-        .withColumn("_c", F.sum(F.length("text")).over(by))
-        .filter((F.col("_c") <= chars_per_class) | (F.col("_r") == 1))
-        .select("toxic", "text", "_r").collect()
     )
-    rows.sort(key=lambda r: (r["toxic"], r["_r"]))
-    return fit([r["text"] for r in rows if r["toxic"] == 1], [r["text"] for r in rows if r["toxic"] == 0])
+    # The order is settled on narrow rows, by one short list per partition; no class is gathered.
+    narrow = written(rows.select("toxic", "doc_id", "_h", F.length("text").alias("_n")), "toxic-order")
+    samples = {}
+    for c in (0, 1):
+        order = narrow.filter(F.col("toxic") == c).orderBy("_h", "doc_id").limit(rows_per_class).select("_h", "_n").collect()
+        kept = max(1, int((np.cumsum([r["_n"] for r in order]) <= chars_per_class).sum()))
+        samples[c] = []
+        if order:
+            near = rows.filter((F.col("toxic") == c) & (F.col("_h") <= order[kept - 1]["_h"]))
+            samples[c] = [r["text"] for r in near.orderBy("_h", "doc_id").limit(kept).select("text").collect()]
+    return fit(samples[1], samples[0])
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
