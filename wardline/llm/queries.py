@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import backoff, chat, langid, mixing, multiindex, neardup, packing, topk, toxicity, wrappers
-from wardline.llm.common import fold, table
+from wardline.llm import (
+    backoff, chat, langid, mixing, multiindex, neardup, packing, phrases, runs, topk, toxicity, urls, wrappers,
+)
+from wardline.llm.common import WORD, fold, table
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -88,6 +90,46 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_run(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of ``docs``; in one document of ten, all words from one on repeat a period's words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    w = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    n, g = F.size("_w").cast("long"), F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    later = F.transform(F.sequence(F.lit(0).cast("long"), n - a - 1), lambda i: F.get(F.col("_w"), (a + i % p).cast("int")))
+    words = F.concat(F.slice("_w", F.lit(1), a.cast("int")), later)
+    rows = docs.select("doc_id", "text", F.when((h % 10 == 0) & F.col("text").rlike(WORD), w).alias("_w"))
+    return rows.select("doc_id", F.when(F.col("_w").isNull(), F.col("text")).otherwise(F.array_join(words, " ")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_run(table(spark, sf_dir, "documents")), keep=["doc_id"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    longest = F.array_sort(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"], r["length"].alias("n"))))
+    top = F.get(longest, F.lit(0))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["n"].alias("length"),
+        top["period"].alias("period"), F.floor(1000 * top["n"] / top["period"]).alias("exponent_milli"),
+        F.sha2(F.concat(lines, F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit(""))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(table(spark, sf_dir, "documents"))
+    return phrases.best(found).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    judged = urls.judge(pages.select("page_id", "url"), pages.select(F.col("html").alias("text")))
+    return judged.select(
+        "page_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"),
+        F.col("_verdict").alias("verdict"), F.col("_odds").alias("odds"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,7 +140,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_source_mix, op2_exact_topk, op3_backoff_score, op4_chat_format, op5_near_duplicates, op6_language,
-        op7_main_text, op8_packing, op9_nearest, op10_toxicity, pipeline,
+        op7_main_text, op8_packing, op9_nearest, op10_toxicity, op11_periodic_runs, op12_phrases, op13_url_filter, pipeline,
     )
 }
 
@@ -108,6 +150,43 @@ _WORDS = (
 )
 
 ORACLE = {
+    "op12_phrases": """
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(p, '[ \\t]+'), lambda x: x <> '') AS w
+  FROM (
+    SELECT lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p
+    FROM documents
+  )
+), g AS (
+  SELECT lang, m, list_slice(w, i, i + m - 1) AS words
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM t, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m)
+), f AS MATERIALIZED (
+  SELECT lang, m, array_to_string(words, ' ') AS phrase, any_value(words) AS words, count(*) AS a FROM g GROUP BY ALL
+), n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+), c AS (SELECT * FROM f WHERE m > 1 AND a >= 10
+), k AS (
+  SELECT lang, phrase, a, words, m, unnest(range(1, m)) AS k FROM c
+), s AS (
+  SELECT k.lang, k.phrase, k.a, k.k, x.a AS l, y.a AS r,
+    ((1000000::HUGEINT * k.a * k.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.words[1:k.k], ' ')
+    JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.words[k.k + 1:k.m], ' ')
+), z AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), b AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, array_to_string(words[1:2], ' ') AS phrase, a FROM c WHERE m = 3
+    UNION ALL SELECT lang, array_to_string(words[2:3], ' '), a FROM c WHERE m = 3
+  ) GROUP BY ALL
+), d AS (
+  SELECT z.lang, z.phrase, z.a, z.l, z.r, n.n, z.score
+  FROM z JOIN n ON n.lang = z.lang LEFT JOIN b ON b.lang = z.lang AND b.phrase = z.phrase
+  WHERE b.a IS NULL OR 100 * b.a < 50 * z.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM d QUALIFY rank <= 2000
+""",
     "op2_exact_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(min(embedding), lambda x: floor(64 * x::DOUBLE)) AS e
