@@ -101,17 +101,16 @@ def segmented(labels: DataFrame, counts: DataFrame) -> DataFrame:
     parts = at.select("label", "start", F.explode(F.expr(f"sequence(1, least({LONGEST_WORD}, length(label) - start))")).alias("length"))
     parts = parts.withColumn("word", F.expr("substring(label, start + 1, length)"))
     known = parts.join(counts, "word").groupBy("label").agg(F.collect_list(F.struct("start", "length", "n")).alias("known"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    joined = labels.join(known, "label", "left").join(F.broadcast(total))  # one row
+    total = counts.agg(F.sum("n")).first()[0] or 0
 
     @F.pandas_udf("array<string>")
-    def cut(label: pd.Series, known: pd.Series, total: pd.Series) -> pd.Series:
+    def cut(label: pd.Series, known: pd.Series) -> pd.Series:
         return pd.Series([
-            cut_words(name, {(r["start"], r["length"]): r["n"] for r in (found if found is not None else ())}, n)
-            for name, found, n in zip(label, known, total)
+            cut_words(name, {(r["start"], r["length"]): r["n"] for r in (found if found is not None else ())}, total)
+            for name, found in zip(label, known)
         ])
 
-    return joined.select("label", cut("label", "known", "total").alias("words"))
+    return labels.join(known, "label", "left").select("label", cut("label", "known").alias("words"))
 
 
 def host_tokens(hosts: DataFrame, counts: DataFrame) -> DataFrame:
@@ -121,26 +120,17 @@ def host_tokens(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     return labels.join(cut, "label").select("host", F.explode("words").alias("token")).groupBy("host", "token").agg(F.count(F.lit(1)).alias("k"))
 
 
-def log_odds(token_counts: DataFrame, class_sizes: DataFrame) -> DataFrame:
-    """(token, odds): millionths of log P(token|block) - log P(token|allow), add-one smoothed; the empty token
-    holds the log-odds of the classes."""
-    total = token_counts.agg(
-        F.coalesce(F.sum("block"), F.lit(0)).alias("all_block"), F.coalesce(F.sum("allow"), F.lit(0)).alias("all_allow"),
-        F.count(F.lit(1)).alias("size"),
-    )
+def odds(block, allow) -> Column:
+    """Millionths of the log of a ratio."""
+    return F.round(1e6 * (F.log(block) - F.log(allow))).cast("long")
 
-    def odds(block, allow):
-        return F.round(1e6 * (F.log(block) - F.log(allow))).cast("long")
 
-    known = token_counts.join(F.broadcast(total)).select(  # one row
-        "token",
-        (odds(F.col("block") + 1, F.col("all_block") + F.col("size")) - odds(F.col("allow") + 1, F.col("all_allow") + F.col("size"))).alias("odds"),
-    )
-    prior = class_sizes.select(
-        F.lit("").alias("token"),
-        F.when(F.col("block") + F.col("allow") == 0, F.lit(0)).otherwise(odds(F.col("block") + 1, F.col("allow") + 1)).alias("odds"),
-    )
-    return known.unionByName(prior)
+def token_odds(counts: DataFrame) -> DataFrame:
+    """(token, odds): log P(token|block) - log P(token|allow), add-one smoothed, of tokens counted per class."""
+    total = counts.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"), F.count(F.lit(1)).alias("size")).first()
+    every = {c: F.lit((total[c] or 0) + total["size"]) for c in ("block", "allow")}
+    ratio = odds(F.col("block") + 1, every["block"]) - odds(F.col("allow") + 1, every["allow"])
+    return counts.select("token", ratio.alias("odds"))
 
 
 def judge(pages: DataFrame, texts: DataFrame, rules=RULES) -> DataFrame:
@@ -164,20 +154,18 @@ def judge(pages: DataFrame, texts: DataFrame, rules=RULES) -> DataFrame:
 
     counted = hosts.join(in_host, "host").select("token", *[(F.col(c) * F.col("k")).alias(c) for c in ("block", "allow")])
     counted = counted.unionByName(in_path.select("token", "block", "allow")).groupBy("token").agg(*sums).filter("block + allow > 0")
-    sizes = urls.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("block", "allow")])
-    model = written(log_odds(counted, sizes), "url-model")
+    model = written(token_odds(written(counted, "token-counts")), "url-model")
+    block, allow = ((n or 0) + 1 for n in urls.agg(*sums).first())
+    prior = odds(F.lit(block), F.lit(allow))
 
     # A token in neither class has even odds and no row.
     by_host = in_host.join(model, "token").groupBy("host").agg(F.sum(F.col("odds") * F.col("k")).alias("host_odds"))
     by_path = in_path.join(model, "token").groupBy("path").agg(F.sum("odds").alias("path_odds"))
     by_host, by_path = written(by_host, "host-odds"), written(by_path, "path-odds")
-    prior = F.broadcast(model.filter("token = ''").select(F.col("odds").alias("prior_odds")))  # one row
     scored = (
         rows.join(by_host.withColumnsRenamed({"host": "_h", "host_odds": "_ho"}), F.col("_host") == F.col("_h"), "left")
         .join(by_path.withColumnsRenamed({"path": "_p", "path_odds": "_po"}), F.col("_tokens") == F.col("_p"), "left")
-        .join(prior.withColumnsRenamed({"prior_odds": "_prior"}))
     )
-    odds = F.col("_prior") + F.coalesce("_ho", F.lit(0)) + F.coalesce("_po", F.lit(0))
-    verdict = F.coalesce("_said", F.when(odds > 0, F.lit("block")).otherwise(F.lit("allow")))
-    kept = [c for c in pages.columns]
-    return scored.select(*kept, "_host", "_path", "_rule", F.when(~labelled, odds).alias("_odds"), verdict.alias("_verdict"))
+    total = prior + F.coalesce("_ho", F.lit(0)) + F.coalesce("_po", F.lit(0))
+    verdict = F.coalesce("_said", F.when(total > 0, F.lit("block")).otherwise(F.lit("allow")))
+    return scored.select(*pages.columns, "_host", "_path", "_rule", F.when(~labelled, total).alias("_odds"), verdict.alias("_verdict"))
