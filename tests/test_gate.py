@@ -40,10 +40,9 @@ def folder(tmp_path):
 
 
 def gate(spark, folder, limits=GateLimits()):
-    parsed = files.parsed_lines(files.read_lines(spark, str(folder)))
-    headers = files.file_header(parsed)
+    headers, staged = files.read_files(files.read_lines(spark, str(folder)))
     manifest = files.recognised(files.file_manifest(spark, str(folder)))
-    rows = c.check_rows(c.file_plan(manifest, headers), files.staged_rows(parsed, headers), limits)
+    rows = c.check_rows(c.file_plan(manifest, headers), staged, limits)
     out = {}
     for r in rows.collect():
         out.setdefault(r["file_name"], {})[r["check_name"]] = (r["passed"], r["detail"])
@@ -55,7 +54,8 @@ CASES = {
     "clean": (HEAD, lines(), None, None),
     "missing_column": (HEAD.rsplit(",", 1)[0], [x.rsplit(",", 1)[0] for x in lines()], "column_count", "found 9, expected 10"),
     "extra_column": (HEAD + ",note", [x + ",n" for x in lines()], "column_count", "found 11, expected 10"),
-    "two_extra_columns": (HEAD + ",n1,n2", [x + ",n,m" for x in lines()], "column_count", "found 11, expected 10"),
+    "two_extra_columns": (HEAD + ",n1,n2", [x + ",n,m" for x in lines()], "column_count", "found 12, expected 10"),
+    "fifteen_columns": (HEAD + ",a,b,c,d,e", [x + ",,,,," for x in lines()], "column_count", "found 15, expected 10"),
     "renamed_required": (HEAD.replace("doctor_id", "doc"), lines(), "required_columns", "missing=['doctor_id']"),
     "two_renamed": (HEAD.replace("doctor_id", "doc").replace("hospital_id", "hos"), lines(), "required_columns", "missing=['doctor_id', 'hospital_id']"),
     "renamed_optional": (HEAD.replace("length_of_stay", "los"), lines(), "data_types", "column missing"),
@@ -72,6 +72,9 @@ CASES = {
     "out_of_range_date": (HEAD, lines({"admit_date": "2019-12-31"}), "date_range", "out-of-range dates=1"),
     "unparseable_date": (HEAD, lines({"admit_date": "soon"}), None, None),
     "quoted_comma": (HEAD, lines({"department": '"ER, west"'}), None, None),
+    "line_end_in_a_cell": (HEAD, lines({"department": '"ER\nwest"'}, {"department": '"a ""b"""'}), None, None),
+    "stray_quote": (HEAD, lines({"department": 'five" ER'}), None, None),
+    "odd [name] {of} a file*": (HEAD, lines(), None, None),
     "shouting_header": (" " + HEAD.upper(), lines(), None, None),
 }
 
@@ -122,10 +125,24 @@ def test_blank_amounts_can_be_allowed(spark, folder):
 
 def test_ragged_rows_are_skipped_and_counted(spark, folder):
     file(folder, "patient_admissions_r.csv", HEAD, lines() + [adm(50) + ",extra", "1,2", "", adm(51, department='"open')])
-    parsed = files.parsed_lines(files.read_lines(spark, str(folder)))
-    staged = files.staged_rows(parsed, files.file_header(parsed))
-    assert staged.filter("ragged").count() == 4
+    _, staged = files.read_files(files.read_lines(spark, str(folder)))
+    counts = files.ragged_counts(staged).first()
+    assert (counts["kept"], counts["ragged"]) == (20, 3)  # the empty line is no record
     assert files.lenient_load(staged).count() == 20
+    stores = ingest.Stores(scratch_path(spark, "stores"))
+    run = ingest.run_gate(spark, str(folder), stores, "r1", AT)
+    assert (run.rows_loaded, run.files_quarantined) == (0, 1)
+    entry = spark.read.parquet(stores.log("file_processing_log")).first()
+    assert (entry["status"], entry["failed_checks"]) == (c.LOAD_FAILED, "    - load_ragged_rows [LOAD]: bad rows=3")
+    assert entry["checks_failed"] == 1 and spark.read.parquet(stores.log("dq_metrics_log")).filter("check_tier = 'LOAD'").count() == 1
+
+
+def test_line_ends_inside_cells_load(spark, folder):
+    file(folder, "patient_admissions_n.csv", HEAD, lines({"department": '"one\n""two"", 2"'}))
+    stores = ingest.Stores(scratch_path(spark, "stores"))
+    assert ingest.run_gate(spark, str(folder), stores, "r1", AT).rows_loaded == 20
+    got = {r["department"] for r in bronze.read_landing(spark, stores.landing("patient_admissions"), ADMISSIONS).collect()}
+    assert got == {"ER", 'one\n"two", 2'}
 
 
 def test_header_of_a_file_read_in_many_blocks(spark, folder):
@@ -136,10 +153,9 @@ def test_header_of_a_file_read_in_many_blocks(spark, folder):
     try:
         raw = files.read_lines(spark, str(folder))
         assert raw.rdd.getNumPartitions() > 4
-        parsed = files.parsed_lines(raw)
-        header = files.file_header(parsed).first()
-        assert header["header"] == ADMISSIONS.columns
-        assert files.staged_rows(parsed, files.file_header(parsed)).count() == 20000
+        headers, staged = files.read_files(raw)
+        assert headers.first()["header"] == ADMISSIONS.columns
+        assert staged.count() == 20000 and not staged.filter("ragged").count()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
@@ -181,15 +197,50 @@ def test_repeated_batch_does_not_double(spark, folder):
     assert spark.read.parquet(stores.log("file_processing_log")).count() == 1
 
 
-def test_strict_load_is_all_or_nothing(spark, folder):
+def test_a_file_that_cannot_be_typed_fails_by_itself(spark, folder):
     file(folder, "patient_admissions_a.csv", HEAD, lines({"patient_id": "p1"}, {"department": "D" * 21}))
+    file(folder, "patient_admissions_b.csv", HEAD, lines())
     file(folder, "insurance_claims_ok.csv", ",".join(CLAIMS.columns), ["1,1,I01,5,5,A,2024-01-01,"])
     stores = ingest.Stores(scratch_path(spark, "stores"))
+    run = ingest.run_gate(spark, str(folder), stores, "r1", AT)
+    assert (run.rows_loaded, run.files_quarantined) == (21, 1)
+    log = {r["file_name"]: r for r in spark.read.parquet(stores.log("file_processing_log")).collect()}
+    failed = log["patient_admissions_a.csv"]
+    assert failed["status"] == c.LOAD_FAILED and failed["rows_loaded"] == 0
+    assert failed["failed_checks"].split("\n") == ["    - load_department [LOAD]: bad rows=1", "    - load_patient_id [LOAD]: bad rows=1"]
+    landed = bronze.read_landing(spark, stores.landing("patient_admissions"), ADMISSIONS)
+    assert {r[0] for r in landed.select("file_name").distinct().collect()} == {"patient_admissions_b.csv"}
+    assert spark.read.text(f"{stores.files}/quarantine/20260629_130245/patient_admissions_a.csv").count() == 21
+
+
+def test_strict_load_names_all_faults(spark, folder):
+    file(folder, "patient_admissions_a.csv", HEAD, lines({"patient_id": "p1"}, {"department": "D" * 21}))
+    headers, staged = files.read_files(files.read_lines(spark, str(folder)))
     with pytest.raises(bronze.StrictLoadError, match="bad department.*bad patient_id|bad patient_id.*bad department"):
-        ingest.run_gate(spark, str(folder), stores, "r1", AT)
-    from wardline.sinks.tables import path_exists
+        bronze.strict_load(files.named_cells(staged, headers, ADMISSIONS), ADMISSIONS)
+
 
-    assert not path_exists(spark, stores.landing("insurance_claims"))
+def test_a_repeated_run_takes_the_files_and_the_stamp_of_its_first_try(spark, folder, monkeypatch):
+    file(folder, "patient_admissions_ok.csv", HEAD, lines())
+    stores = ingest.Stores(scratch_path(spark, "stores"))
+    append = bronze.append_with_count
+
+    def stops(rows, path, batch_id):
+        append(rows, path, batch_id)
+        raise InterruptedError
+
+    monkeypatch.setattr(bronze, "append_with_count", stops)
+    with pytest.raises(InterruptedError):
+        ingest.run_gate(spark, str(folder), stores, "r1", AT)
+    monkeypatch.undo()
+    file(folder, "patient_admissions_late.csv", HEAD, lines())  # arrives before the run is repeated
+    run = ingest.run_gate(spark, str(folder), stores, "r1", AT + dt.timedelta(hours=1))
+    assert (run.files_seen, run.rows_loaded) == (1, 20)
+    assert bronze.read_landing(spark, stores.landing("patient_admissions"), ADMISSIONS).select("load_dttm").distinct().first()[0] == AT
+    assert {p.name for p in folder.iterdir() if not p.name.endswith(".crc")} == {"patient_admissions_late.csv"}
+    again = ingest.run_gate(spark, str(folder), stores, "r1", AT)  # moved files are not missed
+    assert (again.files_seen, again.rows_loaded) == (1, 20)
+    assert bronze.read_landing(spark, stores.landing("patient_admissions"), ADMISSIONS).count() == 20
 
 
 def test_preflight(spark, folder):
@@ -206,8 +257,9 @@ def test_preflight(spark, folder):
     }
 
 
-def test_cells(spark):
-    texts = ['a, "x,y" , NULL,,"q""z"', "1", "", ",b,", ' "a" ,b']
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, line string")
-    got = [r[0] for r in df.orderBy("i").select(files.split_cells(F.col("line"))).collect()]
-    assert got == [["a", "x,y", None, None, 'q"z'], ["1"], [None], [None, "b", None], ["a", "b"]]
+def test_cells(spark, folder):
+    file(folder, "patient_admissions_c.csv", "a,b,c,d,e", ['a, "x,y" , NULL,,"q""z"', "1", ",b,,,", ' "a" ,b,c,d,e'])
+    _, staged = files.read_files(files.read_lines(spark, str(folder)))
+    got = [r["cells"] for r in staged.filter("not ragged").collect()]
+    assert sorted(got, key=str) == sorted([["a", "x,y", None, None, 'q"z'], [None, "b", None, None, None], ["a", "b", "c", "d", "e"]], key=str)
+    assert staged.filter("ragged").count() == 1

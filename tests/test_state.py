@@ -121,20 +121,6 @@ def test_watermark_reaches_the_scan(spark, capsys):
     assert any("GreaterThan(load_dttm,ScalarSubquery" in x for x in pushed)
 
 
-def test_upsert_leaves_other_ranges_untouched(spark):
-    path = scratch_path(spark, "keyed")
-    table = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit(v).alias("v"))
-    t.write_keyed(table(0, 100, "old"), path, "k", width=10)
-    files = lambda: {r[0] for r in spark.read.parquet(path).filter("key_range <> 3 and key_range <> 10").select(F.input_file_name()).distinct().collect()}
-    before = files()
-    batch = written(table(35, 38, "new").unionByName(table(100, 103, "new")), "batch")
-    for _ in range(2):  # repeating it changes nothing
-        assert t.upsert_keyed(spark, path, batch, "k", width=10) == 2
-    assert files() == before
-    got = {r["k"]: r["v"] for r in t.read_keyed(spark, path).collect()}
-    assert len(got) == 103 and {k for k, v in got.items() if v == "new"} == {35, 36, 37, 100, 101, 102}
-
-
 def test_schema_sync(spark):
     old = spark.createDataFrame([(1, "a", "gone"), (2, "b", "gone")], "k int, v string, retired string")
     new = spark.createDataFrame([(2, "B", 5)], "k int, v string, added int")

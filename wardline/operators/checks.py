@@ -19,7 +19,8 @@ from wardline.functions.text import percent_text, quoted_list
 from wardline.sources.files import lenient_load
 
 GATE, THRESHOLD, ADVISORY = "GATE", "THRESHOLD", "ADVISORY"
-QUARANTINED, PASSED = "QUARANTINED", "PASSED"
+LOAD = "LOAD"  # tier of faults that only the typed load finds
+QUARANTINED, PASSED, LOAD_FAILED = "QUARANTINED", "PASSED", "LOAD_FAILED"
 GATE_CHECKS = ("file_not_empty", "column_count", "required_columns")
 ALL_CHECKS = GATE_CHECKS + (
     "row_count",
@@ -266,6 +267,30 @@ def file_verdicts(checks: DataFrame) -> DataFrame:
     )
 
 
+def load_faults(faults: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Check rows of what kept passed files from loading (``file_name, column_name, bad_rows``)."""
+    feeds = verdicts.select(F.col("file_name").alias("_f"), "feed")
+    name = F.coalesce(F.concat(F.lit("load_"), F.col("column_name")), F.lit("load_ragged_rows"))
+    return faults.join(feeds, F.col("file_name") == F.col("_f")).select(
+        "file_name", "feed", F.lit(len(ALL_CHECKS) + 1).alias("ord"), name.alias("check_name"), F.lit(LOAD).alias("tier"),
+        F.lit(False).alias("passed"), _counted("bad rows", F.col("bad_rows")).alias("detail"),
+    )
+
+
+def after_load(verdicts: DataFrame, faults: DataFrame) -> DataFrame:
+    """Verdicts once the load is tried: a passed file with faults is LOAD_FAILED."""
+    line = F.format_string("    - %s [%s]: %s", F.col("check_name"), F.col("tier"), F.col("detail"))
+    texts = faults.groupBy(F.col("file_name").alias("_f")).agg(
+        F.count(F.lit(1)).alias("_n"), F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("_text")
+    )
+    failed = F.col("_n").isNotNull()
+    return verdicts.join(texts, F.col("file_name") == F.col("_f"), "left").select(
+        "file_name", "feed", F.when(failed, LOAD_FAILED).otherwise(F.col("status")).alias("status"), "checks_passed",
+        (F.col("checks_failed") + F.coalesce("_n", F.lit(0))).alias("checks_failed"),
+        F.when(failed, F.col("_text")).otherwise(F.col("failed_checks")).alias("failed_checks"), "advisories",
+    )
+
+
 def advisory_warnings(verdicts: DataFrame) -> DataFrame:
     passed = verdicts.filter((F.col("status") == PASSED) & (F.size("advisories") > 0))
     return passed.select("file_name", "feed", F.array_join("advisories", ", ").alias("advisories"))
@@ -276,8 +301,8 @@ def run_summary(file_log: DataFrame) -> DataFrame:
     return file_log.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("files_seen"),
         F.sum("rows_loaded").alias("rows_loaded"),
-        F.count_if(F.col("status") == QUARANTINED).alias("files_quarantined"),
-        F.bool_or(F.col("status") == QUARANTINED).alias("any_quarantined"),
+        F.count_if(F.col("status") != PASSED).alias("files_quarantined"),
+        F.bool_or(F.col("status") != PASSED).alias("any_quarantined"),
     )
 
 

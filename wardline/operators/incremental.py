@@ -34,6 +34,24 @@ def watermark_filter(landed: DataFrame, target: DataFrame) -> DataFrame:
     return landed.filter(F.col("load_dttm") > max_watermark(target).scalar())
 
 
+def still_newest(fresh: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """``fresh`` rows that no row of ``target`` with their key outdates, in the order of ``latest.newest_first``.
+
+    A batch may land after a younger one. Its rows count where the table has no newer version; two
+    batches with one load stamp, upload stamp and file hold the same file, so equals may go either way.
+    """
+    stamps = ("load_dttm", "upload_dttm", "file_name")
+    t = target.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in stamps])
+    older, same = F.lit(False), F.lit(True)
+    for i, c in enumerate(stamps):
+        mine, theirs = F.col(c), F.col(f"_{c}")
+        # NULL counts as the newest load stamp and as the oldest of the others
+        low, high = (theirs, mine) if i == 0 else (mine, theirs)
+        less = F.coalesce(mine < theirs, F.lit(False)) | (low.isNull() & high.isNotNull())
+        older, same = older | (same & less), same & mine.eqNullSafe(theirs)
+    return fresh.join(t, F.col(key).eqNullSafe(F.col("_k")) & older, "left_anti")
+
+
 def _touched(new: DataFrame, target: DataFrame, key: str, group: str) -> DataFrame:
     """Groups of the new rows and groups those keys were in before."""
     before = in_keys(target, new, key).select(group)

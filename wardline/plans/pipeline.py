@@ -20,18 +20,56 @@ from wardline.plans import gold, silver
 from wardline.plans.ingest import Stores
 from wardline.session import written
 from wardline.sinks import bronze
-from wardline.sinks.tables import clear_mark, path_exists, read_keyed, set_mark, upsert_keyed, write_keyed
+from wardline.sinks.store import TableStore
 from wardline.sources.seeds import seed_scan
 from wardline.sources.spine import DEFAULT_DAYS, DEFAULT_START, date_spine
 
-KEYED = {
-    "stg_admissions": "admission_id",
-    "stg_treatments": "treatment_id",
-    "stg_claims": "claim_id",
-    "fct_admissions": "admission_id",
-    "fct_treatments": "treatment_id",
-    "fct_claims": "claim_id",
-}
+FRESH = ("batches", "watermark")  # what a step takes: batches the ledger lacks, or rows beyond the newest stamp
+
+
+def bring_up_to_date(
+    store: TableStore,
+    stores: Stores,
+    cfg: FeedConfig,
+    name: str,
+    build: Callable[[DataFrame], DataFrame],
+    rewrite: Callable[[DataFrame, DataFrame], DataFrame],
+    to_fact: Callable[[DataFrame], DataFrame] | None = None,
+    full: bool = False,
+    fresh_by: str = "batches",
+) -> None:
+    """Cleaned table of a feed, its fact and the ledger of taken batches, published as one.
+
+    Only touched rows are rewritten unless ``full`` or new. By default each landed batch is taken
+    once, in whatever order batches land; ``fresh_by="watermark"`` takes rows beyond the table's newest load
+    stamp instead, and so misses batches that land late.
+    """
+    if fresh_by not in FRESH:
+        raise ValueError(f"fresh_by is one of {FRESH}")
+    spark, path = store.spark, stores.landing(cfg.name)
+    fact = name.replace("stg_", "fct_")
+    tx = store.begin()
+    new = tx.take(cfg.name, bronze.landed_batches(spark, path))
+    if full or name not in tx.tables or (to_fact and fact not in tx.tables):
+        tx.replace(name, build(bronze.read_landing(spark, path, cfg)), cfg.key)
+        if to_fact:
+            tx.replace(fact, to_fact(tx.table(name)), cfg.key)
+        tx.publish()
+        return
+    target = tx.table(name)
+    if fresh_by == "watermark":
+        fresh = inc.watermark_filter(bronze.read_landing(spark, path, cfg), target)
+    else:
+        fresh = inc.still_newest(bronze.read_landing(spark, path, cfg, new), target, cfg.key)
+    rows = written(rewrite(target, fresh), "rewritten")
+    if not rows.isEmpty():
+        tx.upsert(name, rows)
+        if to_fact:
+            # the fact is compared in the ranges of the rewritten rows only
+            changed = written(inc.incr_facts(tx.table(fact, touching=rows), rows, to_fact, cfg.key), "changed")
+            if not changed.isEmpty():
+                tx.upsert(fact, changed)
+    tx.publish()
 
 
 @dataclass(frozen=True)
@@ -41,56 +79,14 @@ class Pipeline:
     seeds: str  # folder with seed_doctors.csv, seed_hospitals.csv, seed_insurers.csv
     calendar_start: str = DEFAULT_START
     calendar_days: int = DEFAULT_DAYS
+    fresh_by: str = "batches"
 
-    # ── stored tables ───────────────────────────────────────────────────────────────────────────
-
-    def path(self, name: str) -> str:
-        layer = "staging" if name.startswith("stg_") else "marts"
-        return f"{self.stores.root}/{layer}/{name}"
+    @property
+    def store(self) -> TableStore:
+        return TableStore(self.spark, self.stores.root)
 
     def table(self, name: str) -> DataFrame:
-        return read_keyed(self.spark, self.path(name)) if name in KEYED else self.spark.read.parquet(self.path(name))
-
-    def _refresh(self, name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path(name))
-
-    # ── cleaned tables and facts ────────────────────────────────────────────────────────────────
-
-    def _clean(
-        self,
-        cfg: FeedConfig,
-        name: str,
-        build: Callable[[DataFrame], DataFrame],
-        rewrite: Callable[[DataFrame, DataFrame], DataFrame],
-        to_fact: Callable[[DataFrame], DataFrame],
-        full: bool,
-    ) -> None:
-        """Cleaned table and fact of a feed; only touched rows unless ``full`` or new.
-
-        The fact is compared with the rows just rewritten, not with the whole cleaned table. A mark
-        is set while the two tables may disagree; a run that finds one, left by a run that stopped
-        in between, compares everything once.
-        """
-        if not path_exists(self.spark, self.stores.landing(cfg.name)):
-            landed = self.spark.createDataFrame([], cfg.landing_schema)
-        else:
-            landed = bronze.read_landing(self.spark, self.stores.landing(cfg.name), cfg)
-        fact, key = name.replace("stg_", "fct_"), KEYED[name]
-        full = full or not (path_exists(self.spark, self.path(name)) and path_exists(self.spark, self.path(fact)))
-        mark = f"{self.stores.root}/pending/{name}"
-        repair = path_exists(self.spark, mark)
-        set_mark(self.spark, mark)
-        if full:
-            write_keyed(build(landed), self.path(name), key, replace=True)
-            write_keyed(to_fact(self.table(name)), self.path(fact), key, replace=True)
-        else:
-            target = self.table(name)
-            rows = written(rewrite(target, inc.watermark_filter(landed, target)), "rewritten")
-            upsert_keyed(self.spark, self.path(name), rows, key)
-            cleaned = self.table(name) if repair else rows
-            changed = written(inc.incr_facts(self.table(fact), cleaned, to_fact, key), "changed")
-            upsert_keyed(self.spark, self.path(fact), changed, key)
-        clear_mark(self.spark, mark)
+        return self.store.table(name)
 
     # ── snapshot: one folder per run, never rewriting the one it reads ──────────────────────────
 
@@ -98,19 +94,16 @@ class Pipeline:
         return f"{self.stores.root}/snapshots/scd_doctors"
 
     def _runs(self) -> list[str]:
-        if not path_exists(self.spark, self._snapshots()):
-            return []
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(self._snapshots())
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return sorted(n for n in names if n.startswith("run-") and path_exists(self.spark, f"{self._snapshots()}/{n}/_SUCCESS"))
-
-    def snapshot(self, run_ts: dt.datetime) -> DataFrame:
+        fs = self.store.files
+        names = fs.names(self._snapshots())
+        return [n for n in names if n.startswith("run-") and fs.exists(f"{self._snapshots()}/{n}/_SUCCESS")]
+
+    def snapshot(self, run_ts: dt.datetime, doctors: DataFrame) -> DataFrame:
         """Compare with the newest snapshot before ``run_ts``; repeating a run gives the same one."""
         mine = f"run-{run_ts:%Y%m%d%H%M%S%f}"
         earlier = [r for r in self._runs() if r < mine]
         history = self.spark.read.parquet(f"{self._snapshots()}/{earlier[-1]}") if earlier else None
-        out = gold.doctor_snapshot(history, self.table("dim_doctor"), F.lit(run_ts).cast("timestamp_ntz"))
+        out = gold.doctor_snapshot(history, doctors, F.lit(run_ts).cast("timestamp_ntz"))
         out.write.mode("overwrite").parquet(f"{self._snapshots()}/{mine}")
         return self.spark.read.parquet(f"{self._snapshots()}/{mine}")
 
@@ -118,30 +111,30 @@ class Pipeline:
 
     def build(self, run_ts: dt.datetime, as_of: dt.date | None = None, full: bool = False) -> None:
         today = F.lit(as_of or run_ts.date())
-        self._clean(
-            ADMISSIONS,
-            "stg_admissions",
-            lambda rows: silver.stg_admissions(rows, today),
-            lambda target, fresh: inc.rewritten_admissions(target, fresh, today),
-            gold.fct_admissions,
-            full,
-        )
-        self._clean(TREATMENTS, "stg_treatments", silver.stg_treatments, inc.rewritten_treatments, gold.fct_treatments, full)
-        self._clean(CLAIMS, "stg_claims", silver.stg_claims, lambda _, fresh: inc.rewritten_claims(fresh), gold.fct_claims, full)
+        steps = {
+            ADMISSIONS: (
+                "stg_admissions",
+                lambda rows: silver.stg_admissions(rows, today),
+                lambda target, fresh: inc.rewritten_admissions(target, fresh, today),
+                gold.fct_admissions,
+            ),
+            TREATMENTS: ("stg_treatments", silver.stg_treatments, inc.rewritten_treatments, gold.fct_treatments),
+            CLAIMS: ("stg_claims", silver.stg_claims, lambda _, fresh: inc.rewritten_claims(fresh), gold.fct_claims),
+        }
+        for cfg, step in steps.items():
+            bring_up_to_date(self.store, self.stores, cfg, *step, full=full, fresh_by=self.fresh_by)
 
         seed = lambda name: seed_scan(self.spark, f"{self.seeds}/{name}.csv", name)
-        self._refresh("dim_doctor", gold.dim_doctor(seed("seed_doctors")))
-        self._refresh("dim_hospital", gold.dim_hospital(seed("seed_hospitals")))
-        self._refresh("dim_insurance", gold.dim_insurance(seed("seed_insurers")))
-        self._refresh("dim_patient", gold.dim_patient(self.table("stg_admissions")))
-        self._refresh("dim_date", gold.dim_date(date_spine(self.spark, self.calendar_start, self.calendar_days)))
-        self._refresh("dim_doctor_history", gold.dim_doctor_history(self.snapshot(run_ts)))
-        self._refresh(
-            "fct_admissions_enriched",
-            gold.fct_admissions_enriched(
-                self.table("fct_admissions"), self.table("dim_doctor"), self.table("dim_doctor_history")
-            ),
-        )
+        tx = self.store.begin()
+        tx.replace("dim_doctor", gold.dim_doctor(seed("seed_doctors")))
+        tx.replace("dim_hospital", gold.dim_hospital(seed("seed_hospitals")))
+        tx.replace("dim_insurance", gold.dim_insurance(seed("seed_insurers")))
+        tx.replace("dim_patient", gold.dim_patient(tx.table("stg_admissions")), "patient_id")
+        tx.replace("dim_date", gold.dim_date(date_spine(self.spark, self.calendar_start, self.calendar_days)))
+        tx.replace("dim_doctor_history", gold.dim_doctor_history(self.snapshot(run_ts, tx.table("dim_doctor"))))
+        enriched = gold.fct_admissions_enriched(tx.table("fct_admissions"), tx.table("dim_doctor"), tx.table("dim_doctor_history"))
+        tx.replace("fct_admissions_enriched", enriched, "admission_id")
+        tx.publish()
 
     def test(self) -> DataFrame:
         names = {r.table for r in data_tests.RULES} | {r.to for r in data_tests.RULES if r.to}

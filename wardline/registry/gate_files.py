@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from wardline.feeds import ADMISSIONS, CLAIMS, TREATMENTS
 from wardline.registry.adapters import _padded, read
 from wardline.session import scratch_path
+from wardline.sources import files
 
 # Fixed values shared with the SQL side.
 KEYS_PER_FILE = 10_000_000
@@ -210,6 +211,11 @@ def write_files(spark: SparkSession, sf_dir: str) -> str:
     return incoming.toString()
 
 
+def read_folder(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Headers and records of the files as they lie in the folder."""
+    return files.read_files(files.read_lines(spark, incoming(spark, sf_dir)))
+
+
 _folders: dict[tuple[str, str], str] = {}
 
 

@@ -16,10 +16,8 @@ from wardline.registry.adapters import ntz
 
 
 def parts(spark, sf):
-    parsed = files.parsed_lines(g.gate_lines(spark, sf))
-    headers = files.file_header(parsed)
-    staged = files.staged_rows(parsed, headers)
-    manifest = files.recognised(g.gate_manifest(spark, sf))
+    headers, staged = g.read_folder(spark, sf)
+    manifest = files.recognised(files.file_manifest(spark, g.incoming(spark, sf)))
     return headers, staged, c.file_plan(manifest, headers)
 
 
@@ -32,12 +30,9 @@ def _one(name):
 
 
 def all_checks(spark, sf):
-    """All ten checks; lines are cut once since several passes read them."""
-    parsed = written(files.parsed_lines(g.gate_lines(spark, sf)), "parsed", "feed")
-    headers = written(files.file_header(parsed), "headers")
-    staged = files.staged_rows(parsed, headers)
-    manifest = files.recognised(g.gate_manifest(spark, sf))
-    return c.check_rows(written(c.file_plan(manifest, headers), "file-plan"), staged)
+    """All ten checks; records are read once since several passes need them."""
+    _, staged, plan = parts(spark, sf)
+    return c.check_rows(written(plan, "file-plan"), staged)
 
 
 def verdicts(spark, sf):
@@ -61,7 +56,7 @@ QUERIES |= {
     "advisory_warnings": lambda s, d: c.advisory_warnings(verdicts(s, d)),
     "preflight_header_diff": lambda s, d: c.preflight_header_diff(
         g.gate_manifest(s, d).withColumn("feed", files.feed_of(F.col("file_name"))),
-        files.file_header(files.parsed_lines(g.gate_lines(s, d)), preflight=True),
+        g.read_folder(s, d)[0],
     ),
     "gate_all_checks": all_checks,
     "gate_run_summary": lambda s, d: c.run_summary(file_log(s, d)),

@@ -16,6 +16,7 @@ from wardline.registry.layers import calendar
 from wardline.registry.sql_models import query
 from wardline.session import scratch_path, written
 from wardline.sinks import bronze
+from wardline.sinks.store import TableStore
 from wardline.sources import files
 from wardline.sources.seeds import seed_scan
 from wardline.operators import checks as c
@@ -26,15 +27,11 @@ LOADED_AT = "2026-06-29 13:02:45"
 AT = dt.datetime(2026, 6, 29, 13, 2, 45)
 
 
-def _read(spark, sf):
-    """The derived files as they lie in the folder: cut lines, headers, data rows."""
-    parsed = files.parsed_lines(files.read_lines(spark, g.incoming(spark, sf)))
-    headers = written(files.file_header(parsed), "headers")
-    return parsed, headers, files.staged_rows(parsed, headers)
+WIDEST = 11  # cells of the widest derived line
 
 
 def raw_lines(spark, sf):
-    return files.csv_raw_lines_scan(spark, g.incoming(spark, sf))
+    return files.csv_raw_lines_scan(spark, g.incoming(spark, sf), WIDEST)
 
 
 def feed_scan(spark, sf):
@@ -43,7 +40,7 @@ def feed_scan(spark, sf):
 
 
 def headers(spark, sf):
-    return _read(spark, sf)[1].select("file_name", "feed", F.array_join("header", "|").alias("header"))
+    return g.read_folder(spark, sf)[0].select("file_name", "feed", F.array_join("header", "|").alias("header"))
 
 
 def manifest(spark, sf):
@@ -70,19 +67,19 @@ def router(spark, sf):
 
 
 def lineage(spark, sf):
-    _, heads, staged = _read(spark, sf)
+    heads, staged = g.read_folder(spark, sf)
     rows = files.with_load_stamp(files.named_cells(staged, heads, CLAIMS), F.lit(AT))
     return rows.select("claim_id", "file_name", F.col("upload_dttm").isNotNull().alias("has_upload"), "load_dttm")
 
 
 def projection(spark, sf):
-    _, heads, staged = _read(spark, sf)
+    heads, staged = g.read_folder(spark, sf)
     return files.named_cells(staged, heads, TREATMENTS).drop("upload_dttm")
 
 
 def strict(spark, sf):
     """The admissions files that pass, typed all or nothing."""
-    parsed, heads, staged = _read(spark, sf)
+    heads, staged = g.read_folder(spark, sf)
     m_ = files.recognised(files.file_manifest(spark, g.incoming(spark, sf)))
     verdicts = c.file_verdicts(c.check_rows(c.file_plan(m_, heads), staged))
     good = written(verdicts.filter(F.col("status") == c.PASSED).select("file_name"), "good")
@@ -123,7 +120,7 @@ def stream_gate(spark, sf):
 
 def stream_silver(spark, sf):
     stores = _stream(spark, sf, after=True)
-    df = spark.read.parquet(stream.silver_path(stores, "stg_claims"))
+    df = TableStore(spark, stores.root).table("stg_claims")
     return df.select("claim_id", "admission_id", "claim_amount", "claim_status", "claim_date", "settle_date", "days_to_settle", "dq_status")
 
 
@@ -142,7 +139,7 @@ QUERIES = {
     "stream_silver_upsert": stream_silver,
 }
 
-_all_cells = ", ".join(f"cells[{i + 1}] AS c{i}" for i in range(files.MAX_CELLS))
+_all_cells = ", ".join(f"cells[{i + 1}] AS c{i}" for i in range(WIDEST))
 _named = ", ".join(f"{sg.cell(x)} AS {x}" for x in TREATMENTS.columns)
 _name_case = "CASE o_orderkey % 5 " + " ".join(
     f"WHEN {i} THEN '{n.rsplit('/', 1)[-1].replace('{y}', chr(39) + ' || year(o_orderdate) || ' + chr(39))}'" for i, n in enumerate(_NAMES)

@@ -20,6 +20,7 @@ from wardline.registry.sql_models import query, shown
 from wardline.session import scratch_path, written
 from wardline.sinks import audit, bronze, route
 from wardline.sinks import tables as t
+from wardline.sinks.store import TableStore
 
 LOADED_AT = "2026-06-29 13:02:45"
 
@@ -29,17 +30,28 @@ LOADED_AT = "2026-06-29 13:02:45"
 
 def merge(spark, sf):
     """A stored table of earlier claims, upserted with the later ones and read back."""
-    path = scratch_path(spark, "claims-by-range")
-    t.write_keyed(table(spark, sf, "stg_claims_before"), path, "claim_id")
+    store = TableStore(spark, scratch_path(spark, "claims-by-range"))
+    tx = store.begin()
+    tx.replace("stg_claims", table(spark, sf, "stg_claims_before"), "claim_id")
+    tx.publish()
     later = table(spark, sf, "stg_claims").filter(F.col("load_dttm") > a.ntz(a.SPLIT_AT))
-    t.upsert_keyed(spark, path, later, "claim_id")
-    return t.read_keyed(spark, path)
+    tx = store.begin()
+    tx.upsert("stg_claims", later)
+    tx.publish()
+    return store.table("stg_claims")
 
 
 def schema_sync(spark, sf):
-    old = table(spark, sf, "stg_claims_before").drop("is_pending").withColumn("retired", F.lit("x"))
+    """A stored table with a column the later rows lack, and without one they have."""
+    store = TableStore(spark, scratch_path(spark, "claims-synced"))
+    tx = store.begin()
+    tx.replace("stg_claims", table(spark, sf, "stg_claims_before").drop("is_pending").withColumn("retired", F.lit("x")), "claim_id")
+    tx.publish()
     later = table(spark, sf, "stg_claims").filter(F.col("load_dttm") > a.ntz(a.SPLIT_AT))
-    return t.schema_sync_upsert(old, later, "claim_id")
+    tx = store.begin()
+    tx.upsert("stg_claims", later)
+    tx.publish()
+    return store.table("stg_claims")
 
 
 def refresh(spark, sf):

@@ -97,7 +97,7 @@ def _list(names) -> str:
 
 RELATIONS["gate_named"] = f"""
 SELECT file_name, feed, {_per_feed(lambda f: len(f.columns))} AS expected,
-  list_filter(list_transform(string_split(line, ','), lambda x: lower(trim(x))), lambda x: x <> '')[1:{_per_feed(lambda f: len(f.columns) + 1)}] AS header
+  list_filter(list_transform(string_split(line, ','), lambda x: lower(trim(x))), lambda x: x <> '') AS header
 FROM gate_heads"""
 RELATIONS["gate_plan"] = f"""
 SELECT *, list_filter(required, lambda x: NOT list_contains(header, x)) AS missing FROM (

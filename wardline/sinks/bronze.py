@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.feeds import LINEAGE, FeedConfig
 from wardline.functions.numbers import try_number
-from wardline.session import scratch_path
+from wardline.operators.joins import not_in_keys
+from wardline.session import scratch_path, written
+from wardline.sinks.store import Files
 
 
 QUOTED = 20  # faults that an error message quotes; its table has all
@@ -61,6 +65,19 @@ def strict_load(named: DataFrame, cfg: FeedConfig) -> DataFrame:
     return typed.drop("bad_columns")
 
 
+def loadable(named: DataFrame, ragged: DataFrame, cfg: FeedConfig) -> tuple[DataFrame, DataFrame]:
+    """(typed rows of the files that load, faults of the others).
+
+    A file loads whole or not at all, and by itself: ``named`` rows that cannot be typed or ``ragged`` ones
+    (``file_name, ragged``) keep their own file out, no other. Faults: ``file_name, column_name, bad_rows``
+    (the column is NULL for ragged rows), a written table.
+    """
+    typed = typed_rows(named, cfg)
+    uneven = ragged.filter("ragged > 0").select("file_name", F.lit(None).cast("string").alias("column_name"), F.col("ragged").alias("bad_rows"))
+    faults = written(load_problems(typed).unionByName(uneven), "load-faults")
+    return not_in_keys(typed.drop("bad_columns"), faults.select("file_name").distinct(), "file_name"), faults
+
+
 def append_with_count(rows: DataFrame, path: str, batch_id: str) -> int:
     """Append one batch and return how many rows this load added.
 
@@ -79,10 +96,19 @@ def append_with_count(rows: DataFrame, path: str, batch_id: str) -> int:
     return seen.get["rows"]
 
 
-def read_landing(spark, path: str, cfg: FeedConfig, batch_id: str | None = None) -> DataFrame:
-    """A landing table, or one batch of it (one partition)."""
+def landed_batches(spark: SparkSession, path: str) -> DataFrame:
+    """(batch_id): the batches of a landing table, from the names of its folders."""
+    names = [n.removeprefix("batch_id=") for n in Files(spark, path).names(path) if n.startswith("batch_id=")]
+    return spark.createDataFrame([(unquote(n),) for n in names], "batch_id string")
+
+
+def read_landing(spark: SparkSession, path: str, cfg: FeedConfig, batches: DataFrame | None = None) -> DataFrame:
+    """A landing table (empty if nothing has landed), or its rows of ``batches`` (``batch_id``), whose
+    folders alone are read."""
+    if not Files(spark, path).exists(path):
+        return spark.createDataFrame([], cfg.landing_schema)
     schema = T.StructType(list(cfg.landing_schema.fields) + [T.StructField("batch_id", T.StringType())])
     df = spark.read.schema(schema).parquet(path)
-    if batch_id is not None:
-        df = df.filter(F.col("batch_id") == batch_id)
+    if batches is not None:
+        df = df.join(batches.filter("batch_id > ''").select("batch_id"), "batch_id")
     return df.select(*cfg.columns, *LINEAGE)

@@ -1,4 +1,4 @@
-"""Layer databases, full refresh and key-wise upsert."""
+"""Layer databases, full refresh and upsert by key. Stored tables that change together: see ``store``."""
 
 from __future__ import annotations
 
@@ -69,63 +69,6 @@ def schema_sync_upsert(target: DataFrame, source: DataFrame, key: str) -> DataFr
     return kept.unionByName(source, allowMissingColumns=True).select(*source.columns)
 
 
-def key_range(key: str, width: int):
-    return F.floor(F.coalesce(F.col(key).cast("long"), F.lit(0)) / F.lit(width)).cast("long")
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def set_mark(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True).close()
-
-
-def clear_mark(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, False)
-
-
-def write_keyed(df: DataFrame, path: str, key: str, width: int = 10_000_000, replace: bool = False) -> None:
-    """A table stored by ranges of a numeric key, so that an upsert can leave most of it alone.
-
-    ``replace`` drops the ranges ``df`` does not have; without it they stay.
-
-    Rows are spread over tasks by range and a hash of the key, so one crowded range does not
-    become one task.
-    """
-    out = df.withColumn("key_range", key_range(key, width))
-    (
-        out.repartition("key_range", F.pmod(F.xxhash64(key), F.lit(16)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if replace else "dynamic")
-        .partitionBy("key_range")
-        .parquet(path)
-    )
-
-
-def upsert_keyed(spark: SparkSession, path: str, source: DataFrame, key: str, width: int = 10_000_000) -> int:
-    """Rewrite only the key ranges ``source`` touches; returns how many.
-
-    New keys are usually the highest ones, so a batch rewrites a few ranges. Source rows must be
-    a written table: the ranges are found first and the rows read again. Dynamic partition
-    overwrite stages the new files and moves them in at commit, so reading the old ones is safe,
-    and repeating an interrupted upsert gives the same table.
-    """
-    ranges = [r[0] for r in source.select(key_range(key, width).alias("r")).distinct().collect()]
-    if not ranges:
-        return 0
-    old = spark.read.parquet(path).filter(F.col("key_range").isin(ranges)).drop("key_range")
-    write_keyed(merge_upsert(old, source, key), path, key, width)
-    return len(ranges)
-
-
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("key_range")
-
-
 def changed_rows(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Rows of ``source`` that are new or differ from their ``target`` row in any column, NULL-safe.
 

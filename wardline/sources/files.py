@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.feeds import FEEDS, FeedConfig
 from wardline.functions.text import base_name, blank_to_null, header_name
+from wardline.session import written
 
 CSV_OPTIONS = {
     "sep": ",",
@@ -17,9 +20,7 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
 }
-# one cell more than the widest feed expects, so that an extra column is seen
-MAX_CELLS = max(len(f.columns) for f in FEEDS.values()) + 1
-PREFLIGHT_CELLS = 12  # fixed value
+RAGGED = "_ragged"
 MANIFEST = "path string, file_name string, size long, modified timestamp_ntz"
 
 
@@ -58,10 +59,16 @@ def recognised(manifest: DataFrame) -> DataFrame:
     return routed.filter(name.endswith(".csv") & F.col("feed").isNotNull())
 
 
+def file_name_read() -> Column:
+    """Name of the file a row was read from; Spark gives it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def placed_lines(df: DataFrame) -> DataFrame:
     """Raw lines with file, upload time and first byte of their block, batch or streaming."""
     return df.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_path").alias("path"),
+        file_name_read().alias("file_name"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("upload_dttm"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -78,12 +85,21 @@ def read_lines(spark: SparkSession, directory: str) -> DataFrame:
     return numbered(placed_lines(spark.read.option("pathGlobFilter", "*.csv").text(directory)))
 
 
-def csv_raw_lines_scan(spark: SparkSession, directory: str, columns: int = MAX_CELLS) -> DataFrame:
-    """Every line is data, the header included."""
+def _width(lines: Column) -> Column:
+    """Cells a line can have at most: its commas and one."""
+    return F.length(lines) - F.length(F.replace(lines, F.lit(","), F.lit(""))) + 1
+
+
+def csv_raw_lines_scan(spark: SparkSession, directory: str, columns: int | None = None) -> DataFrame:
+    """Every line is data, the header included, in as many columns as the widest line can fill
+    (or ``columns``)."""
+    files = spark.read.option("pathGlobFilter", "*.csv")
+    if columns is None:
+        columns = files.text(directory).agg(F.max(_width(F.col("value")))).first()[0] or 1
     schema = ", ".join(f"c{i} string" for i in range(columns))
-    df = spark.read.schema(schema).options(**CSV_OPTIONS, pathGlobFilter="*.csv").csv(directory)
+    df = files.schema(schema).options(**CSV_OPTIONS).csv(directory)
     return df.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        file_name_read().alias("file_name"),
         *[blank_to_null(F.col(f"c{i}")).alias(f"c{i}") for i in range(columns)],
     )
 
@@ -94,94 +110,94 @@ def csv_feed_scan(spark: SparkSession, paths: str | list[str], cfg: FeedConfig)
     df = spark.read.schema(schema).options(**CSV_OPTIONS, header="true").csv(paths)
     return df.select(
         *[blank_to_null(F.col(c)).alias(c) for c in cfg.columns],
-        F.col("_metadata.file_name").alias("file_name"),
+        file_name_read().alias("file_name"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("upload_dttm"),
     )
 
 
-# A cell follows a separator: a quoted text (doubled quotes inside) or anything up to the next one.
-CELL = r',\s*("[^"]*(?:""[^"]*)*"|[^,]*)'
+def open_quote(line: Column) -> Column:
+    """A quote is opened and not closed on the line: the record goes on in the next one."""
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
 
-def split_cells(line: Column) -> Column:
-    """Trimmed cells of a line as an array, quotes resolved, blanks and ``NULL`` as NULL.
+def file_heads(lines: DataFrame) -> DataFrame:
+    """One row per file of a known feed: first physical line, and whether records span lines.
 
-    One pattern pass per line. ``from_csv`` would need a fixed width, hide how many cells there
-    were, and be planned once per cell taken out of it.
+    Only lines of a file's first block are candidates for the first one; minimum and flag are taken
+    on the map side first, so one row per file and task is shuffled.
     """
-    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CELL), F.lit(1))
-
-    def resolved(x: Column) -> Column:
-        inner = F.substring(x, F.lit(2), F.length(x) - 2)
-        quoted = x.startswith('"') & x.endswith('"') & (F.length(x) > 1)
-        return blank_to_null(F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(x))
-
-    return F.transform(raw, resolved)
-
+    known = lines.withColumn("feed", feed_of(F.col("file_name"))).filter(F.col("feed").isNotNull())
+    first = F.when(F.col("block_start") == 0, F.struct("line_no", "line"))
+    return known.groupBy("file_name", "feed").agg(
+        F.first("path").alias("path"),
+        F.max("file_size").alias("size"),
+        F.max("upload_dttm").alias("upload_dttm"),
+        F.min(first)["line"].alias("first_line"),
+        F.bool_or(open_quote(F.col("line"))).alias("multiline"),
+    )
 
-def open_quote(line: Column) -> Column:
-    """A quote is opened and not closed on the line."""
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
+def file_header(heads: DataFrame) -> DataFrame:
+    """``heads`` with ``header``: the first line's names, all of them, lower-case and without blanks.
 
-def expected_width() -> Column:
-    """Header cells the gate looks at: one more than the feed expects."""
-    out = None
-    for cfg in FEEDS.values():
-        hit, n = F.col("feed") == cfg.name, F.lit(len(cfg.columns) + 1)
-        out = F.when(hit, n) if out is None else out.when(hit, n)
-    return out
+    ``heads`` is read twice (for the widest line, then for the names): a written table.
+    """
+    width = heads.agg(F.max(_width(F.col("first_line")))).first()[0] or 1
+    columns = [f"c{i}" for i in range(width)]
+    cells = F.from_csv("first_line", F.lit(", ".join(f"{c} string" for c in columns)), {**CSV_OPTIONS, "mode": "PERMISSIVE"})
+    names = F.transform(F.array(*[F.col("_cells")[c] for c in columns]), header_name)
+    found = F.filter(names, lambda x: x.isNotNull() & (x != ""))
+    return heads.withColumn("_cells", cells).withColumn("header", found).drop("_cells", "first_line")
 
 
-def parsed_lines(lines: DataFrame) -> DataFrame:
-    """Lines of known feeds cut into cells. Meant to be written once: headers, checks and load all
-    read it, and a line number then stays what it is, however often the files are planned."""
-    known = lines.withColumn("feed", feed_of(F.col("file_name"))).filter(F.col("feed").isNotNull())
-    return known.select(
-        "file_name",
-        "feed",
-        *[c for c in ("file_size",) if c in lines.columns],
-        "upload_dttm",
-        "block_start",
-        "line_no",
-        split_cells(F.col("line")).alias("cells"),
-        open_quote(F.col("line")).alias("open_quote"),
-    )
+def _literal(path: str) -> str:
+    """A file's address as a path that the reader takes word for word."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(path))
 
 
-def file_header(parsed: DataFrame, preflight: bool = False) -> DataFrame:
-    """First physical line per file as lower-case names.
+def staged_rows(headers: DataFrame) -> DataFrame:
+    """Data records of the files as cells; ``ragged`` marks those with another number of cells than the header.
 
-    Only lines of a file's first block are candidates, and the smallest line number wins on the
-    map side first, so one line per file and task is shuffled.
+    Spark's CSV reader cuts the records: files are read together by header width, whole ones (a
+    record may then hold line ends) apart from those that can be split at every line. Empty lines are no
+    records. Meant to be written once: checks and load both read it.
     """
-    first = (
-        parsed.filter(F.col("block_start") == 0)
-        .groupBy("file_name", "feed")
-        .agg(F.min(F.struct("line_no", "cells")).alias("h"))
-    )
-    width = F.lit(PREFLIGHT_CELLS) if preflight else expected_width()
-    cells = F.slice(F.transform(F.col("h.cells"), header_name), 1, width)
-    names = F.filter(cells, lambda x: x.isNotNull() & (x != ""))
-    return first.select("file_name", "feed", F.col("h.line_no").alias("header_no"), names.alias("header"))
-
-
-def staged_rows(parsed: DataFrame, headers: DataFrame) -> DataFrame:
-    """Data rows as cells; ``ragged`` marks a wrong number of cells or an open quote."""
-    h = headers.select(F.col("file_name").alias("_f"), "header_no", F.size("header").alias("_n"))
-    rows = parsed.join(h, F.col("file_name") == F.col("_f"))
-    is_header = (F.col("block_start") == 0) & (F.col("line_no") == F.col("header_no"))
-    return rows.filter(~is_header).select(
-        "file_name",
-        "feed",
-        "upload_dttm",
-        "cells",
-        (F.col("open_quote") | (F.size("cells") != F.col("_n"))).alias("ragged"),
-    )
+    spark = headers.sparkSession
+    groups: dict[tuple[int, bool], list[str]] = {}
+    for r in headers.select("path", F.size("header").alias("n"), "multiline").toLocalIterator():
+        groups.setdefault((max(r["n"], 1), r["multiline"]), []).append(_literal(r["path"]))
+    out = None
+    for (n, multiline), paths in sorted(groups.items()):
+        columns = [f"c{i}" for i in range(n)]
+        reader = spark.read.schema(", ".join(f"{c} string" for c in [*columns, RAGGED])).options(
+            **CSV_OPTIONS, header="true", multiLine=str(multiline).lower(), mode="PERMISSIVE",
+            columnNameOfCorruptRecord=RAGGED, columnPruning="false",
+        )
+        rows = reader.csv(paths).select(
+            file_name_read().alias("file_name"),
+            F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("upload_dttm"),
+            F.array(*[blank_to_null(F.col(c)) for c in columns]).alias("cells"),
+            F.col(RAGGED).isNotNull().alias("ragged"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        out = spark.createDataFrame([], "file_name string, upload_dttm timestamp_ntz, cells array<string>, ragged boolean")
+    return out.select("file_name", feed_of(F.col("file_name")).alias("feed"), "upload_dttm", "cells", "ragged")
+
+
+def read_files(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(headers, staged rows) of the files of ``lines``, both written."""
+    headers = written(file_header(written(file_heads(lines), "heads")), "headers")
+    return headers, written(staged_rows(headers), "staged", "feed")
+
+
+def ragged_counts(staged: DataFrame) -> DataFrame:
+    """(file_name, kept, ragged): records with the header's number of cells, and others."""
+    return staged.groupBy("file_name").agg(F.count_if(~F.col("ragged")).alias("kept"), F.count_if("ragged").alias("ragged"))
 
 
 def lenient_load(staged: DataFrame) -> DataFrame:
-    """Rows with the right number of cells; the others are skipped (and counted elsewhere)."""
+    """Rows with the right number of cells; the others are skipped here and counted by ``ragged_counts``."""
     return staged.filter(~F.col("ragged")).drop("ragged")
 
 

@@ -13,27 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wardline.feeds import ADMISSIONS, CLAIMS, FEEDS, TREATMENTS, GateLimits
+from wardline.feeds import ADMISSIONS, CLAIMS, TREATMENTS, GateLimits
 from wardline.operators import incremental as inc
 from wardline.plans import silver
 from wardline.plans.ingest import GateRun, Stores, gate_batch, utc_now
-from wardline.session import written
-from wardline.sinks import bronze
-from wardline.sinks.tables import path_exists, read_keyed, upsert_keyed, write_keyed
+from wardline.plans.pipeline import bring_up_to_date
+from wardline.sinks.store import Files, TableStore
 from wardline.sources import files
 
 MANIFEST = ["file_name", "size"]
 
 
-def _batch_manifest(spark: SparkSession, parsed: DataFrame, incoming: str, stores: Stores) -> DataFrame:
+def _batch_manifest(spark: SparkSession, headers: DataFrame, incoming: str, stores: Stores) -> DataFrame:
     """Files of the micro-batch, and empty files of the folder that no log knows yet.
 
     An empty file has no line and so never shows up in the stream itself; it is picked up along
     with the next batch.
     """
-    seen = parsed.groupBy("file_name").agg(F.max("file_size").alias("size"))
+    seen = headers.select(*MANIFEST)
     empty = files.file_manifest(spark, incoming).filter("size = 0").select(*MANIFEST)
-    if path_exists(spark, stores.log("file_processing_log")):
+    if Files(spark, stores.root).exists(stores.log("file_processing_log")):
         log = spark.read.parquet(stores.log("file_processing_log")).select(F.col("file_name").alias("_f"))
         empty = empty.join(log, F.col("file_name") == F.col("_f"), "left_anti")
     return files.recognised(seen.unionByName(empty))
@@ -52,7 +51,8 @@ def gate_stream(
 ) -> StreamingQuery:
     """Check and load what has arrived, then stop; run again (or on a timer) for what comes later.
 
-    ``after`` is called with the batch id once its rows have landed.
+    ``after`` is called with the batch id once its rows have landed. Batch ids hold the query's id, which
+    lives in the checkpoint: a new checkpoint starts new batches and replaces none.
     """
     reader = spark.readStream.option("pathGlobFilter", "*.csv")
     if files_per_batch:
@@ -60,8 +60,9 @@ def gate_stream(
     arriving = files.placed_lines(reader.text(incoming))
 
     def handle(batch: DataFrame, number: int) -> None:
-        batch_id, at = f"batch-{number:08d}", clock()
-        manifest = lambda parsed: _batch_manifest(spark, parsed, incoming, stores)
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        batch_id, at = f"batch-{query[:8]}-{number:08d}", clock()
+        manifest = lambda headers: _batch_manifest(spark, headers, incoming, stores)
         run = gate_batch(files.numbered(batch), manifest, stores, batch_id, at, limits, keep_lines=True)
         if after:
             after(batch_id, at)
@@ -76,40 +77,25 @@ def gate_stream(
     )
 
 
-def silver_path(stores: Stores, name: str) -> str:
-    return f"{stores.root}/staging/{name}"
-
-
 def silver_upsert(spark: SparkSession, stores: Stores, as_of: str | None = None) -> Callable[[str, dt.datetime], None]:
-    """Bring the cleaned tables up to date with one landed batch.
+    """Bring the cleaned tables up to date with what has landed.
 
-    It reads the batch's own partition, not a watermark: a repeated batch finds the same rows and
-    writes the same result, even if its first try stopped half way through the upsert.
+    Each landed batch is taken once: the ledger is published together with the rows. A repeated batch finds
+    itself taken, and a step that stopped half way has published nothing.
     """
 
     def step(batch_id: str, at: dt.datetime) -> None:
         today = F.lit(as_of or at.date().isoformat()).cast("date")
         models = {
-            ADMISSIONS.name: (
+            ADMISSIONS: (
                 "stg_admissions",
                 lambda rows: silver.stg_admissions(rows, today),
                 lambda target, rows: inc.rewritten_admissions(target, rows, today),
             ),
-            TREATMENTS.name: ("stg_treatments", silver.stg_treatments, inc.rewritten_treatments),
-            CLAIMS.name: ("stg_claims", silver.stg_claims, lambda target, rows: inc.rewritten_claims(rows)),
+            TREATMENTS: ("stg_treatments", silver.stg_treatments, inc.rewritten_treatments),
+            CLAIMS: ("stg_claims", silver.stg_claims, lambda target, rows: inc.rewritten_claims(rows)),
         }
-        for feed, (name, build, rewrite) in models.items():
-            cfg = FEEDS[feed]
-            if not path_exists(spark, stores.landing(feed)):
-                continue
-            fresh = bronze.read_landing(spark, stores.landing(feed), cfg, batch_id)
-            if fresh.isEmpty():
-                continue
-            path = silver_path(stores, name)
-            if path_exists(spark, path):
-                rows = written(rewrite(read_keyed(spark, path), fresh), "rewritten")
-                upsert_keyed(spark, path, rows, cfg.key)
-            else:
-                write_keyed(build(fresh), path, cfg.key)
+        for cfg, model in models.items():
+            bring_up_to_date(TableStore(spark, stores.root), stores, cfg, *model)
 
     return step
