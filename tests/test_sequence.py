@@ -34,34 +34,56 @@ def as_set(df):
     return {tuple(r) for r in df.select("k", "d", "i", "v", "seq", "total", "prev").collect()}
 
 
-def test_chunks_equal_window(spark):
-    df = rows(spark)
-    want = as_set(q.number_rows(df, SPEC))
-    assert as_set(q.number_rows(df, SPEC, hot=True)) == want
+def by_hand(df):
+    out = set()
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(r["k"], []).append(r)
+    for k, group in groups.items():
+        group.sort(key=lambda r: (r["d"] is None, r["d"] or 0, r["i"] is None, r["i"] or 0))
+        for n, r in enumerate(group):
+            out.add((k, r["d"], r["i"], r["v"], n + 1, len(group), group[n - 1]["v"] if n else None))
+    return out
+
+
+@pytest.mark.parametrize("samples", [1, 5, 20, 10_000])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_numbers_do_not_depend_on_the_cut_points(spark, samples, seed):
+    df = rows(spark, seed=seed)
+    assert as_set(q.number_rows(df, SPEC, samples=samples)) == by_hand(df)
 
 
-def test_hot_keys_are_split_off(spark):
-    df = rows(spark, seed=2)
-    hot = q.large_groups(df, "k", row_limit=500)
-    assert {r[0] for r in hot.collect()} == {7, None}
-    assert as_set(q.number_rows(df, SPEC, hot)) == as_set(q.number_rows(df, SPEC))
+def test_large_keys_are_cut_into_bounded_pieces(spark):
+    df = rows(spark, 12_000, seed=2)
+    points = {r["key"]: r["points"] for r in q.cut_points(df, SPEC).collect()}
+    assert set(points) == {7, None} and all(1 <= len(p) <= 8 for p in points.values())
+    order = lambda p: (p["no_day"], p["day"] if not p["no_day"] else 0, p["no_id"], p["id"] or 0)
+    for key, cuts in points.items():
+        places = df.filter(F.col("k").eqNullSafe(F.lit(key))).select(q.place_of(SPEC).alias("p")).collect()
+        sizes = [sum(1 for p in places if sum(order(c) <= order(p["p"]) for c in cuts) == i) for i in range(len(cuts) + 1)]
+        assert sum(sizes) == len(places) and max(sizes) <= 3 * 12_000 / 8
 
 
-def test_no_hot_keys(spark):
-    assert q.large_groups(rows(spark, 300), "k", row_limit=5000) is None
+def test_no_large_key_no_cut(spark):
+    df = spark.range(5000).select((F.col("id") % 500).alias("k"), F.lit(None).cast("date").alias("d"), F.col("id").alias("i"), F.lit(None).cast("date").alias("v"))
+    assert q.cut_points(df, SPEC) is None and q.cut_points(df.limit(0), SPEC) is None
+    assert q.number_rows(df.limit(0), SPEC).count() == 0
 
 
-def test_too_many_hot_keys(spark, monkeypatch):
-    monkeypatch.setattr(q, "HOT_KEY_LIMIT", 5)
-    assert q.large_groups(rows(spark), "k", row_limit=10) is True
+def test_points_of_another_table_give_the_same_numbers(spark):
+    df = rows(spark, seed=3)
+    other = rows(spark, seed=4).select("k", "d", "i")
+    assert as_set(q.number_rows(df, SPEC, sample_of=other, samples=3)) == by_hand(df)
 
 
-def test_no_window_over_a_whole_hot_key(spark):
+def test_one_exchange_of_the_rows_and_no_window_over_a_whole_key(spark):
     df = rows(spark)
-    plan = q.number_rows(df, SPEC, hot=True)._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window " in line and "_place" in line]
-    assert windows and all("_c" in w.rsplit("], [", 2)[-2] or "_c#" in w for w in windows)
+    plan = q.number_rows(df, SPEC, samples=3)._jdf.queryExecution().executedPlan().toString()
+    over_rows = [line for line in plan.splitlines() if "Window " in line and "row_number" in line]
+    assert over_rows and all("_piece" in w for w in over_rows)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_piece" in line]
+    assert len(exchanges) <= 2  # the rows once, and the counts of pieces
 
 
 @pytest.mark.parametrize("copies", [1, 3000])

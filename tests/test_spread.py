@@ -68,7 +68,23 @@ def test_constant_cost_has_no_z_score_and_no_outlier(spark):
     assert all(r["z"] == 0 and r["o"] is False for r in out.collect())
 
 
-def test_spread_beyond_exact_range_falls_back(spark):
+def test_spread_of_large_amounts(spark):
     big = [("x", "9999999999.99"), ("x", "-9999999999.99")] * 20
     row = spread.cost_statistics(frame(spark, big), "k", "v").first()
-    assert math.isclose(row["deviation"] / 100, statistics.stdev(float(v) for _, v in big), rel_tol=1e-9)
+    assert math.isclose(row["deviation"] / 100, statistics.stdev(float(v) for _, v in big), rel_tol=1e-14)
+
+
+@pytest.mark.parametrize("weight", [1, 10**7, 10**11])
+def test_deviation_of_very_many_rows(spark, weight):
+    """Bins that stand for up to 10^11 rows each, with sums of up to 37 digits."""
+    from fractions import Fraction
+
+    values = [-999_999_999_999, -999_999_999_999, 5, 999_999_999_999, 999_999_999_998]
+    near = [999_999_999_999] * 4 + [999_999_999_998]
+    for vals in (values, near, [7] * 5):
+        bins = [("x", i, weight, Decimal(v * weight), Decimal(v * v * weight)) for i, v in enumerate(vals)]
+        df = spark.createDataFrame(bins, "k string, _bin long, _n long, _s decimal(24,0), _q decimal(38,0)")
+        got = spread._edge_bins(df, "k", 99).first()["deviation"]
+        n, total = 5 * weight, sum(vals) * weight
+        want = math.sqrt((Fraction(sum(v * v for v in vals) * weight) - Fraction(total * total, n)) / (n - 1))
+        assert math.isclose(got, want, rel_tol=1e-14)

@@ -63,10 +63,10 @@ def test_admissions_step_by_step_equals_rebuild(spark, seed):
 def test_admissions_step_with_large_groups_equals_rebuild(spark):
     landed = landed_admissions(spark, 2, 5)
     first = landed.filter(F.col("load_dttm") <= F.timestamp_seconds(F.lit(0)).cast("timestamp_ntz"))
-    target = written(silver.stg_admissions(first, as_of(), row_limit=3), "target")
+    target = written(silver.stg_admissions(first, as_of(), samples=2), "target")
     assert same_rows(target, silver.stg_admissions(first, as_of()))
     fresh = inc.watermark_filter(landed, target)
-    out = t.merge_upsert(target, written(inc.rewritten_admissions(target, fresh, as_of(), row_limit=3), "u"), "admission_id")
+    out = t.merge_upsert(target, written(inc.rewritten_admissions(target, fresh, as_of(), samples=2), "u"), "admission_id")
     assert same_rows(out, silver.stg_admissions(landed, as_of()))
 
 
@@ -94,7 +94,7 @@ def test_treatments_step_equals_rebuild(spark, seed):
     full = written(silver.stg_treatments(landed), "full")
     assert same_rows(t.merge_upsert(target, rows, "treatment_id"), full)
     assert rows.count() < full.count()  # untouched groups are left alone
-    assert same_rows(silver.stg_treatments(landed, row_limit=2), full)
+    assert same_rows(silver.stg_treatments(landed, samples=1), full)
 
 
 def test_fact_follows_neighbours_that_changed(spark):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wardline.functions.dates import add_days
 from wardline.operators import spread
 from wardline.operators.joins import in_keys, not_in_keys
-from wardline.operators.sequence import GROUP_ROW_LIMIT, large_groups, number_rows
+from wardline.operators.sequence import SAMPLES, number_rows
 from wardline.plans import silver
 from wardline.session import written
 from wardline.sinks.tables import changed_rows, merge_upsert
@@ -62,7 +62,7 @@ def _touched(new: DataFrame, target: DataFrame, key: str, group: str) -> DataFra
 
 
 def rewritten_admissions(
-    target: DataFrame, fresh: DataFrame, as_of: Column, row_limit: int = GROUP_ROW_LIMIT
+    target: DataFrame, fresh: DataFrame, as_of: Column, samples: int = SAMPLES
 ) -> DataFrame:
     """Full histories of the patients touched by the freshly landed rows, the ones an admission
     moved away from included."""
@@ -72,7 +72,7 @@ def rewritten_admissions(
         "discharge_date", add_days(F.col("admit_date"), F.col("length_of_stay"))
     )
     base = written(new.unionByName(old.select(*new.columns)), "touched-admissions")
-    return silver.admission_history(base, as_of, large_groups(base, "patient_id", row_limit))
+    return silver.admission_history(base, as_of, samples=samples)
 
 
 def incr_admissions(target: DataFrame, landed: DataFrame, as_of: Column) -> DataFrame:
@@ -85,7 +85,7 @@ _COSTED = ["avg_cost_for_procedure", "cost_zscore", "is_cost_outlier"]
 _NUMBERED = ["treatment_seq_in_admission", "treatments_in_admission"]
 
 
-def rewritten_treatments(target: DataFrame, fresh: DataFrame, row_limit: int = GROUP_ROW_LIMIT) -> DataFrame:
+def rewritten_treatments(target: DataFrame, fresh: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Rows of every touched procedure and of every touched admission.
 
     Statistics are recomputed only for touched procedures and numbering only for touched
@@ -110,7 +110,7 @@ def rewritten_treatments(target: DataFrame, fresh: DataFrame, row_limit: int = G
     )
 
     renumber = touched.filter("_steps").drop(*_NUMBERED)
-    numbered = number_rows(renumber, silver.STEPS, large_groups(renumber, "admission_id", row_limit))
+    numbered = number_rows(renumber, silver.STEPS, samples=samples)
     rows = numbered.unionByName(touched.filter(F.col("_steps").isNull()))
     stats = spread.cost_statistics(touched.filter("_costs"), "procedure_code", "cost")
     joined = spread.attach(rows, stats, "procedure_code")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 
 def inner_equi_join(left: DataFrame, right: DataFrame, key: str, *take: str) -> DataFrame:
@@ -25,6 +26,35 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, at: str, *take: C
     return facts.join(v, hit).drop("_vk", "valid_from", "valid_to")
 
 
+FIRST_YEAR, LAST_YEAR = 2000, 2049  # years told apart as parts of a join key; others count as the nearest
+
+
+def year_part(at: Column) -> Column:
+    return F.greatest(F.least(F.year(at), F.lit(LAST_YEAR)), F.lit(FIRST_YEAR))
+
+
+def asof_join_by_part(facts: DataFrame, versions: DataFrame, key: str, at: str, *take: Column) -> DataFrame:
+    """Same result as ``asof_join``, with the year as part of the join key.
+
+    A version is listed under each year it touches, at most 50 of them however long it holds. A key with many
+    rows is dealt over its years, and a row meets one year's versions, not a whole history.
+    """
+    years = F.sequence(year_part(F.col("valid_from")), year_part(F.col("valid_to")))
+    v = versions.select(F.col(key).alias("_vk"), "valid_from", "valid_to", *take)
+    v = v.filter("valid_from < valid_to").withColumn("_vy", F.explode(years))
+    moment = facts[at].cast("timestamp_ntz")
+    same = (facts[key] == v["_vk"]) & (year_part(facts[at]) == v["_vy"])
+    hit = same & (moment >= v["valid_from"]) & (moment < v["valid_to"])
+    return facts.join(v, hit).drop("_vk", "_vy", "valid_from", "valid_to")
+
+
+def with_current(versions: DataFrame, key: str, *take: str) -> DataFrame:
+    """Versions of keys that have a current one, with its columns as ``current_<column>`` beside their own."""
+    of_key = W.partitionBy(key).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    now = {f"current_{c}": F.max(F.when(F.col("is_current"), F.col(c))).over(of_key) for c in take}
+    return versions.withColumns({**now, "_has_current": F.max("is_current").over(of_key)}).filter("_has_current").drop("_has_current")
+
+
 def asof_join_by_year(facts: DataFrame, versions: DataFrame, key: str, at: str, *take: Column) -> DataFrame:
     """Same result as ``asof_join`` for keys with very many versions.
 

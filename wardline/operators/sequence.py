@@ -1,27 +1,31 @@
-"""Ordered numbering, group size and previous value per key, safe for very large groups.
+"""Ordered numbering, group size and previous value per key, whatever the size of a group.
 
-A plain window sends each key to one task. That is right for ordinary keys, but a placeholder
-patient may hold a third of all rows. Such keys are found with a counted, narrow pass and take a
-second, exact route made of bounded pieces:
+A window by key alone sends each key to one task, and a placeholder patient may hold a third of all
+rows. So the rows of a key are first cut at points of their order, taken from a sample:
 
-1. a chunk is (key, day, id >> 20): ids are unique, so a chunk has at most 2**20 rows;
-2. chunks are reduced to one row (count, last value) before any window runs over them;
-3. offsets run over chunks within a day, then over days within a key (a calendar's worth);
-4. rows get their chunk's offset by an equi join and are numbered inside the chunk.
+1. a sample of about ``SAMPLES`` rows per shuffle partition gives each key points ``SAMPLES`` sampled rows
+   apart, so no piece holds much more than a partition's share. Keys with less than two shares,
+   usually all of them, have no points and are one piece;
+2. rows are numbered within (key, piece): one exchange, one sort, one window;
+3. the pieces of the keys that were cut, as few as there are points, are counted, and each gets the rows
+   before it, the key's total and the value before its first row.
+
+The points only deal the work: any points, or none, give the same numbers.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-CHUNK_BITS = 20
-GROUP_ROW_LIMIT = 2_000_000
-HOT_KEY_LIMIT = 20_000
-_LAST_ID = (1 << 63) - 1
+from wardline.session import written
+
+SAMPLES = 20  # sampled rows per shuffle partition, and between two points of a key
+PLACE = "struct<no_day:boolean,day:date,no_id:boolean,id:bigint>"
 
 
 @dataclass(frozen=True)
@@ -37,99 +41,116 @@ class Sequence:
     previous: str | None = None
 
 
-def large_groups(rows: DataFrame, key: str, row_limit: int = GROUP_ROW_LIMIT) -> DataFrame | None | bool:
-    """Keys of ``rows`` with more than ``row_limit`` rows.
+def place_of(spec: Sequence) -> Column:
+    """A row's place in its key's order."""
+    day, ident = F.col(spec.day), F.col(spec.id).cast("long")
+    return F.struct(day.isNull().alias("no_day"), day.alias("day"), ident.isNull().alias("no_id"), ident.alias("id"))
+
+
+def cut_points(
+    rows: DataFrame,
+    spec: Sequence,
+    samples: int = SAMPLES,
+    sampled: int | None = None,
+    places: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame | None:
+    """(key, points): sorted places at which the large keys of ``rows`` are cut; None if no key is large.
 
-    ``None``: there are none. ``True``: more than ``HOT_KEY_LIMIT`` of them. Otherwise a DataFrame
-    that holds at most ``HOT_KEY_LIMIT`` keys. Runs one job that reads the key column only and
-    counts before the shuffle; at most ``HOT_KEY_LIMIT + 1`` keys reach the driver.
+    ``rows`` may be an earlier state of what is numbered; ``places`` makes key, day and id out of sampled rows.
+    About ``sampled`` rows reach the driver, ``samples`` per shuffle partition unless said, and one point per
+    ``samples`` of them comes out.
     """
-    counted = rows.groupBy(key).count().filter(F.col("count") > row_limit).select(key)
-    found = counted.limit(HOT_KEY_LIMIT + 1).collect()
-    if not found:
+    spark = rows.sparkSession
+    wanted = sampled or samples * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = rows.count()
+    share = min(1.0, wanted / n) if n else 1.0
+    if n and share == 1.0 and n < 2 * samples:
         return None
-    if len(found) > HOT_KEY_LIMIT:
-        return True
-    return rows.sparkSession.createDataFrame(found, counted.schema)
-
-
-def number_rows(df: DataFrame, spec: Sequence, hot: DataFrame | None | bool = None) -> DataFrame:
-    """Add ``seq``, ``total`` and, if asked, ``previous``; ``hot`` comes from ``large_groups``."""
-    if hot is None:
-        return _by_window(df, spec)
-    if hot is True:
-        return _by_chunks(df, spec)
-    # at most HOT_KEY_LIMIT rows, checked in large_groups
-    keys = F.broadcast(hot.select(F.col(spec.key).alias("_hot")))
-    is_hot = F.col(spec.key).eqNullSafe(F.col("_hot"))
-    usual = df.join(keys, is_hot, "left_anti")
-    large = df.join(keys, is_hot, "left_semi")
-    return _by_window(usual, spec).unionByName(_by_chunks(large, spec))
-
-
-def _by_window(df: DataFrame, spec: Sequence) -> DataFrame:
-    # one (partition, order) pair for all three, so Spark plans one exchange, one sort, one window
-    ordered = W.partitionBy(spec.key).orderBy(F.col(spec.day).asc_nulls_last(), F.col(spec.id).asc_nulls_last())
-    whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    picked = rows.sample(share, seed=1) if share < 1.0 else rows
+    picked = (places(picked) if places else picked).select(F.col(spec.key).alias("key"), place_of(spec).alias("place"))
+    by_key: dict[object, list] = {}
+    for r in picked.collect():
+        by_key.setdefault(r["key"], []).append(r["place"])
+    order = lambda p: (p["no_day"], p["day"] if not p["no_day"] else 0, p["no_id"], p["id"] or 0)
+    cut = [(k, sorted(places, key=order)[samples::samples]) for k, places in by_key.items() if len(places) >= 2 * samples]
+    if not cut:
+        return None
+    kind = picked.schema["key"].dataType.simpleString()
+    return spark.createDataFrame(cut, f"key {kind}, points array<{PLACE}>")
+
+
+def _points_passed(points: Column, place: Column, most: int) -> Column:
+    """How many of the sorted ``points`` (``most`` at most) are at or before ``place``, by halving."""
+    size = F.coalesce(F.size(points), F.lit(0))
+    between = F.struct(F.lit(0).alias("low"), size.alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = ((s["low"] + s["high"]) / 2).cast("int")
+        before = F.get(points, middle) <= place
+        low = F.when((s["low"] < s["high"]) & before, middle + 1).otherwise(s["low"])
+        high = F.when((s["low"] < s["high"]) & ~before, middle).otherwise(s["high"])
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    steps = F.array(*[F.lit(i) for i in range(most.bit_length() + 1)])
+    return F.when(points.isNull(), F.lit(0)).otherwise(F.aggregate(steps, between, halve)["low"])
+
+
+def number_rows(
+    df: DataFrame,
+    spec: Sequence,
+    sample_of: DataFrame | None = None,
+    places: Callable[[DataFrame], DataFrame] | None = None,
+    samples: int = SAMPLES,
+    sampled: int | None = None,
+) -> DataFrame:
+    """Add ``seq``, ``total`` and, if asked, ``previous``. ``sample_of`` (``df`` unless given) and the others: see
+    ``cut_points``."""
+    points = cut_points(df if sample_of is None else sample_of, spec, samples, sampled, places)
+    if points is None:
+        return df.withColumns(_inside(spec, [spec.key]))
+    most = points.agg(F.max(F.size("points"))).first()[0]
+    same = F.col(spec.key).eqNullSafe(F.col("_pk"))
+    # as many points as ``sampled / samples`` at most
+    dealt = F.broadcast(points.select(F.col("key").alias("_pk"), F.col("points").alias("_points"), F.lit(True).alias("_cut")))
+    piece = _points_passed(F.col("_points"), place_of(spec), most)
+    rows = written(df.join(dealt, same, "left").withColumn("_piece", piece).drop("_pk", "_points"), "pieces")
+
+    value = F.col(spec.value) if spec.previous else F.lit(None).cast("date")
+    pieces = rows.filter("_cut").groupBy(F.col(spec.key).alias("_k"), F.col("_piece").alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.struct(place_of(spec).alias("place"), value.alias("value"))).alias("_last")
+    )
+    of_key = W.partitionBy("_k").orderBy("_p")
+    pieces = pieces.select(
+        "_k",
+        "_p",
+        F.coalesce(F.sum("_n").over(of_key.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_base"),
+        F.sum("_n").over(of_key.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("_all"),
+        F.lag("_last").over(of_key)["value"].alias("_before"),
+    )
+    numbered = rows.withColumns({**_inside(spec, [spec.key, "_piece"]), "_first": F.row_number().over(_ordered(spec, [spec.key, "_piece"])) == 1})
+    at = F.col(spec.key).eqNullSafe(F.col("_k")) & (F.col("_piece") == F.col("_p"))
+    joined = numbered.join(F.broadcast(pieces), at, "left")  # as many rows as points, and one per cut key
     out = {
-        spec.seq: F.row_number().over(ordered).cast("long"),
-        spec.total: F.count(F.lit(1)).over(whole),
+        spec.seq: F.col(spec.seq) + F.coalesce("_base", F.lit(0)),
+        spec.total: F.coalesce("_all", F.col(spec.total)),
     }
     if spec.previous:
-        out[spec.previous] = F.lag(spec.value).over(ordered)
-    return df.withColumns(out)
+        out[spec.previous] = F.when(F.col("_first"), F.col("_before")).otherwise(F.col(spec.previous))
+    return joined.select(*df.columns, *[c.alias(name) for name, c in out.items()])
 
 
-def _by_chunks(df: DataFrame, spec: Sequence) -> DataFrame:
-    place = F.coalesce(F.col(spec.id).cast("long"), F.lit(_LAST_ID))
-    value = F.col(spec.value) if spec.previous else F.lit(None).cast("date")
-    rows = df.withColumns({"_place": place, "_value": value}).withColumn(
-        "_chunk", F.shiftright("_place", CHUNK_BITS)
-    )
-    key, day = spec.key, spec.day
+def _ordered(spec: Sequence, by: list[str]):
+    return W.partitionBy(*by).orderBy(F.col(spec.day).asc_nulls_last(), F.col(spec.id).asc_nulls_last())
 
-    chunks = rows.groupBy(key, day, "_chunk").agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.struct("_place", "_value")).alias("_last")
-    )
-    days = chunks.groupBy(key, day).agg(F.sum("_n").alias("_day_n"), F.max("_last").alias("_day_last"))
-
-    over_days = W.partitionBy(key).orderBy(F.col(day).asc_nulls_last())
-    days = days.select(
-        F.col(key).alias("_dk"),
-        F.col(day).alias("_dd"),
-        F.coalesce(F.sum("_day_n").over(over_days.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_day_base"),
-        F.sum("_day_n").over(over_days.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("_total"),
-        F.lag("_day_last").over(over_days).alias("_day_prev"),
-    )
-    over_chunks = W.partitionBy(key, day).orderBy("_chunk")
-    chunks = chunks.select(
-        F.col(key).alias("_k"),
-        F.col(day).alias("_d"),
-        F.col("_chunk").alias("_c"),
-        F.coalesce(F.sum("_n").over(over_chunks.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_chunk_base"),
-        F.lag("_last").over(over_chunks).alias("_chunk_prev"),
-    )
-    same_day = F.col("_k").eqNullSafe(F.col("_dk")) & F.col("_d").eqNullSafe(F.col("_dd"))
-    offsets = chunks.join(days, same_day).select(
-        "_k",
-        "_d",
-        "_c",
-        (F.col("_day_base") + F.col("_chunk_base")).alias("_base"),
-        "_total",
-        F.coalesce("_chunk_prev", "_day_prev").alias("_before"),
-    )
-    same_chunk = (
-        F.col(key).eqNullSafe(F.col("_k")) & F.col(day).eqNullSafe(F.col("_d")) & (F.col("_chunk") == F.col("_c"))
-    )
-    placed = rows.join(offsets, same_chunk)
-    inside = W.partitionBy("_k", "_d", "_c").orderBy("_place")
+
+def _inside(spec: Sequence, by: list[str]) -> dict[str, Column]:
+    # one (partition, order) pair for all, so Spark plans one exchange, one sort, one window
+    ordered = _ordered(spec, by)
+    whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     out = {
-        spec.seq: (F.col("_base") + F.row_number().over(inside)).cast("long"),
-        spec.total: F.col("_total"),
+        spec.seq: F.row_number().over(ordered).cast("long"),
+        spec.total: F.count(F.lit(1)).over(whole),
     }
     if spec.previous:
-        # the first row of a chunk continues from the piece before it
-        out[spec.previous] = F.when(F.row_number().over(inside) == 1, F.col("_before._value")).otherwise(
-            F.lag("_value").over(inside)
-        )
-    return placed.withColumns(out).select(*df.columns, *out)
+        out[spec.previous] = F.lag(spec.value).over(ordered)
+    return out

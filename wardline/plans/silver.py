@@ -12,7 +12,7 @@ from wardline.functions.numbers import guarded_ratio
 from wardline.functions.text import clean_code
 from wardline.operators import spread
 from wardline.operators.latest import dedup_latest
-from wardline.operators.sequence import GROUP_ROW_LIMIT, Sequence, large_groups, number_rows
+from wardline.operators.sequence import SAMPLES, Sequence, number_rows
 from wardline.session import written
 
 SOURCE_SYSTEM = "GATEKEEPER"  # fixed value
@@ -59,9 +59,21 @@ def clean_admissions(landed: DataFrame) -> DataFrame:
     ).withColumn("discharge_date", add_days(F.col("admit_date"), F.col("length_of_stay")))
 
 
-def admission_history(cleaned: DataFrame, as_of: Column, hot: DataFrame | None | bool = None) -> DataFrame:
+def visit_places(landed: DataFrame) -> DataFrame:
+    """What the visit order goes by, from landed rows; enough for a sample."""
+    return landed.select("patient_id", parse_date(F.col("admit_date")).alias("admit_date"), "admission_id")
+
+
+def step_places(landed: DataFrame) -> DataFrame:
+    """The same for the order of treatments."""
+    return landed.select("admission_id", parse_date(F.col("treatment_date")).alias("treatment_date"), "treatment_id")
+
+
+def admission_history(
+    cleaned: DataFrame, as_of: Column, landed: DataFrame | None = None, samples: int = SAMPLES
+) -> DataFrame:
     """Visit order, gap to the previous discharge, 30-day readmission, status."""
-    seen = number_rows(cleaned, VISITS, hot)
+    seen = number_rows(cleaned, VISITS, landed, visit_places if landed is not None else None, samples)
     gap = F.col("days_since_last_visit")
     stay, admitted = F.col("length_of_stay"), F.col("admit_date")
     doctor, hospital = F.col("doctor_id"), F.col("hospital_id")
@@ -90,13 +102,8 @@ def admission_history(cleaned: DataFrame, as_of: Column, hot: DataFrame | None |
     )
 
 
-def stg_admissions(landed: DataFrame, as_of: Column, row_limit: int = GROUP_ROW_LIMIT) -> DataFrame:
-    # counted before dedup: an upper bound from one narrow column, cheaper than counting after it
-    hot = large_groups(landed, "patient_id", row_limit)
-    cleaned = clean_admissions(landed)
-    if hot is not None:
-        cleaned = written(cleaned, "clean-admissions")  # read by several branches below
-    return admission_history(cleaned, as_of, hot)
+def stg_admissions(landed: DataFrame, as_of: Column, samples: int = SAMPLES) -> DataFrame:
+    return admission_history(clean_admissions(landed), as_of, landed, samples)
 
 
 # ── treatments ──────────────────────────────────────────────────────────────────────────────────
@@ -156,13 +163,12 @@ def with_treatment_flags(df: DataFrame) -> DataFrame:
     ).select(*TREATMENT_COLUMNS)
 
 
-def stg_treatments(landed: DataFrame, row_limit: int = GROUP_ROW_LIMIT) -> DataFrame:
-    hot = large_groups(landed, "admission_id", row_limit)
+def stg_treatments(landed: DataFrame, samples: int = SAMPLES) -> DataFrame:
     # two statistics passes and the row pass read this: written once, each scans what it needs
     cleaned = written(clean_treatments(landed), "clean-treatments")
     stats = spread.cost_statistics(cleaned, "procedure_code", "cost")
     costed = treatment_costs(cleaned, stats)
-    return with_treatment_flags(number_rows(costed, STEPS, hot))
+    return with_treatment_flags(number_rows(costed, STEPS, cleaned, samples=samples))
 
 
 # ── claims ──────────────────────────────────────────────────────────────────────────────────────

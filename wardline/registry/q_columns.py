@@ -62,16 +62,16 @@ def latest_of_all(s, d):
 
 
 def visits(s, d):
-    return number_rows(silver.clean_admissions(adm(s, d)), silver.VISITS)
+    return number_rows(silver.clean_admissions(adm(s, d)), silver.VISITS, adm(s, d), silver.visit_places)
 
 
 def visits_by_chunks(s, d):
-    """The route of very large groups, taken for all rows."""
-    return number_rows(silver.clean_admissions(adm(s, d)), silver.VISITS, hot=True)
+    """Groups cut in pieces of a few rows, as very large ones are in pieces of a partition's share."""
+    return number_rows(silver.clean_admissions(adm(s, d)), silver.VISITS, adm(s, d), silver.visit_places, samples=2, sampled=20_000)
 
 
 def steps(s, d):
-    return number_rows(silver.clean_treatments(trt(s, d)), silver.STEPS)
+    return number_rows(silver.clean_treatments(trt(s, d)), silver.STEPS, trt(s, d), silver.step_places)
 
 
 def stats(s, d):

@@ -67,7 +67,7 @@ _THEN = lambda: (F.col("specialty").alias("specialty_at_admission"), F.col("seni
 
 
 def asof(spark, sf):
-    df = joins.asof_join(_named_admissions(spark, sf), table(spark, sf, "dim_doctor_history"), "doctor_id", "admit_date", *_THEN())
+    df = joins.asof_join_by_part(_named_admissions(spark, sf), table(spark, sf, "dim_doctor_history"), "doctor_id", "admit_date", *_THEN())
     return df.drop("doctor_sk")
 
 
