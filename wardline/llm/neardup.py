@@ -20,7 +20,8 @@ and joins are split where they are skewed.
 
 Defined results: null, empty and word-less texts have no shingles and link with nothing; fewer words
 than ``k`` are one shingle, the whole sequence; further columns are ignored; rows that repeat get a row
-each; a null id is no representative: the row takes the component of its class, or null.
+each; an id with several texts has a row and a group for each text, and links none of them; a null id is
+no representative: the row takes the component of its class, or null.
 """
 
 from __future__ import annotations
@@ -68,6 +69,16 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     return np.unique(out)
 
 
+def _copy_of(raw: bytes) -> list[int]:
+    """Two hashes of a set: equal for copies."""
+    return [xxhash.xxh64_intdigest(raw, seed) - 2**63 for seed in (1, 2)]
+
+
+def _full_set(text: str | None, k: int) -> tuple[list[int], bytes]:
+    raw = shingles(text, k).tobytes()
+    return _copy_of(raw), raw
+
+
 def signatures(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
     """doc_id, n_shingles, copy (two hashes of the set), left and right sub-keys, bit sketch."""
     count = 2 * rows * bands
@@ -95,8 +106,7 @@ def signatures(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
                 bits[: count] = (least[:64] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(62)
                 sketch = np.bitwise_or.reduce(bits.reshape(2, 32) << (2 * np.arange(32)).astype("u8"), axis=1)
             key = key.view("i8").tolist()
-            copy = [xxhash.xxh64_intdigest(raw, seed) - 2**63 for seed in (1, 2)]
-            return len(s), copy, key[:bands], key[bands:], *sketch.view("i8").tolist()
+            return len(s), _copy_of(raw), key[:bands], key[bands:], *sketch.view("i8").tolist()
 
         return lambda texts: list(zip(*map(one, texts)))
 
@@ -273,10 +283,11 @@ def near_duplicates(
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(signatures(source, k, rows, bands), "dup-signatures")
+    # Classes have numbers of their own: an id with two texts is in two classes.
     classes = written(
         signed.filter("n_shingles > 0 and doc_id is not null").groupBy("copy").agg(
-            F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n_shingles", "left", "right", "sketch1", "sketch2")]
-        ),
+            F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", "left", "right", "sketch1", "sketch2")]
+        ).withColumn("id", F.monotonically_increasing_id()),
         "dup-classes",
     )
     # Sub-keys that at least two classes share; per class the shared ones of either side.
@@ -300,13 +311,13 @@ def near_duplicates(
     leaders = tables.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader != last")
     members = written(tables.join(leaders.select("bucket", "leader"), "bucket"), "dup-members")
     wanted = members.select("id").distinct()
-    sets = written(
-        per_text(
-            source.join(wanted, F.col("doc_id") == F.col("id")), ["id"], "shingles binary",
-            lambda: lambda texts: [[shingles(t, k).tobytes() for t in texts]],
-        ).dropDuplicates(["id"]),
-        "dup-sets",
-    )
+    reps = classes.select("id", "copy", "rep").join(wanted, "id")
+    full = per_text(
+        source.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), ["doc_id"],
+        "copy array<long>, shingles binary", lambda: lambda texts: zip(*(_full_set(t, k) for t in texts)),
+    )
+    # By copy, not by id: an id's other text is another class.
+    sets = written(full.dropDuplicates(["copy"]).join(reps.select("copy", "id"), "copy").select("id", "shingles"), "dup-sets")
     described = classes.select("id", "n_shingles", "sketch1", "sketch2")
     first = members.filter("id != leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a")).select("a", "b")
     first = written(first.union(drawn_pairs(members, described, percent, most_differing)).distinct(), "dup-first")
@@ -324,11 +335,13 @@ def near_duplicates(
         more = written(confirmed(pairs, sets, components, percent), "dup-links")
         components = merged(components, more)
         checked = checked.union(pairs)
-    final = classes.select("copy", "id").join(components, "id", "left").select(
-        "copy", F.coalesce("component", "id").alias("component")
+    grouped = classes.select("copy", "rep", "id").join(components, "id", "left").select(
+        "copy", "rep", F.coalesce("component", "id").alias("component")
     )
+    smallest = grouped.groupBy("component").agg(F.min("rep").alias("component_id"))
+    final = grouped.join(smallest, "component").select("copy", "component_id")
     return (
         signed.select("doc_id", "n_shingles", "copy").join(final, "copy", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )

@@ -83,7 +83,7 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.train(toxicity.labelled(docs.filter(fold("doc_id", 3) != 1), table(spark, sf_dir, "labels")))
+    model = toxicity.train(docs.filter(fold("doc_id", 3) != 1), table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, keep=["doc_id"]).select(
         "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("passages").alias("n_passages"),

@@ -9,15 +9,15 @@ segments of a text (Ruzzo and Tompa 1999): the passages that no extension or sho
 Calibration: on texts of the other class the largest segment score of n words follows an
 extreme-value law, P(S >= s) = 1 - exp(-K n exp(-lambda s)) (Karlin and Altschul 1990). lambda solves
 E[exp(lambda score)] = 1 over that class's words, K is fitted to its observed segments. A segment is
-significant if its E-value, K n exp(-lambda s), is at most ``significant``; a document adds up the
-evidence lambda s - log(K n) of these, and a logistic curve fitted on the training rows turns the sum
-into the score.
+significant if its E-value E, K n exp(-lambda s), is at most ``significant``. A document's evidence is
+log(1 + 1/E) of its largest segment, significant or not, and -log E of every other significant one; a logistic
+curve fitted on the training rows turns the sum into the score.
 
 Training reads a bounded sample: at most ``rows_per_class`` labelled rows of each class, whole
 texts, as many of them in seeded order as fit ``chars_per_class``, at least one; the lexicon keeps at most ``lexicon`` words and as many parts, those of the
 largest scores.
 
-Defined results: null and empty text have no segment and get the lowest score; without training rows
+Defined results: null and empty text have no segment and no evidence; without training rows
 of both classes every score is 0; rows that repeat are scored each; of several labels of one id
 the highest counts; a null label is none; further columns are ignored.
 """
@@ -112,20 +112,19 @@ class Model:
         if not found or not (self.weights or self.stems):
             return [], 0.0
         scores = self.scores(found)
-        kept, evidence = [], 0.0
         # E-values count the places where a passage could begin: the words outside are many and even.
         size = np.log(self.k * len(found))
-        for a, b, s in segments(scores):
-            gain = self.lam * s - size
-            if gain >= -np.log(self.significant):
-                kept.append((a, b, s))
-                evidence += gain
-        return kept, evidence
+        gains = [(self.lam * s - size, a, b, s) for a, b, s in segments(scores)]
+        kept = [x for x in gains if x[0] >= -np.log(self.significant)]
+        # E / (1 + E) stands for the probability of the largest segment, so that texts without a
+        # significant one are still ranked by how near they come.
+        top = max(gains, default=(-size,))[0]
+        return [x[1:] for x in kept], float(np.logaddexp(0.0, top)) + sum(sorted(x[0] for x in kept)[:-1])
 
     def probability(self, evidence: float) -> float:
         if not self.slope:
             return 0.0
-        return float(1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -500, 500))))
 
 
 def _lambda(scores: np.ndarray, share: np.ndarray) -> float:
@@ -225,32 +224,33 @@ def fit(
 
 
 def train(
-    labelled: DataFrame, rows_per_class: int = 3000, chars_per_class: int = 10_000_000, seed: int = 3
+    docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, chars_per_class: int = 10_000_000, seed: int = 3
 ) -> Model:
-    """From (doc_id, text, toxic): a bounded sample of each class in seeded order."""
-    rows = (
-        labelled.filter(F.col("toxic").isin(0, 1) & F.col("text").isNotNull())
-        .select("toxic", "text", "doc_id", F.xxhash64(F.lit(seed), "doc_id", "text").alias("_h"))
+    """From ``docs`` and (doc_id, toxic): a bounded sample of each class in seeded order.
+
+    The order is settled on ids, hashes and lengths; no text meets the labels. The chosen ids, at most
+    ``rows_per_class`` a class, are then sent to the documents, and only their texts are read out.
+    """
+    marks = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    texts = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(
+        "doc_id", "text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("_h")
     )
-    # The order is settled on narrow rows, by one short list per partition; no class is gathered.
-    narrow = written(rows.select("toxic", "doc_id", "_h", F.length("text").alias("_n")), "toxic-order")
-    samples = {}
+    narrow = texts.select("doc_id", "_h", F.length("text").alias("_n")).distinct()
+    order = written(narrow.join(marks, "doc_id"), "toxic-order")
+    chosen = {}
     for c in (0, 1):
-        order = narrow.filter(F.col("toxic") == c).orderBy("_h", "doc_id").limit(rows_per_class).select("_h", "_n").collect()
-        kept = max(1, int((np.cumsum([r["_n"] for r in order]) <= chars_per_class).sum()))
-        samples[c] = []
-        if order:
-            near = rows.filter((F.col("toxic") == c) & (F.col("_h") <= order[kept - 1]["_h"]))
-            samples[c] = [r["text"] for r in near.orderBy("_h", "doc_id").limit(kept).select("text").collect()]
+        first = order.filter(F.col("toxic") == c).orderBy("_h", "doc_id").limit(rows_per_class).collect()
+        kept = max(1, int((np.cumsum([r["_n"] for r in first]) <= chars_per_class).sum()))
+        chosen |= {(r["doc_id"], r["_h"]): (c, i) for i, r in enumerate(first[:kept])}
+    if not chosen:
+        return Model()
+    kind = order.schema["doc_id"].dataType.simpleString()
+    wanted = docs.sparkSession.createDataFrame([(d, h) for d, h in chosen], f"doc_id {kind}, _h long")
+    found = {(r["doc_id"], r["_h"]): r["text"] for r in texts.join(F.broadcast(wanted), ["doc_id", "_h"]).collect()}
+    samples = [[found[k] for k in sorted(chosen, key=chosen.get) if chosen[k][0] == c and k in found] for c in (0, 1)]
     return fit(samples[1], samples[0])
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the documents that have a label."""
-    marks = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").join(marks, "doc_id")
-
-
 SCORE = "score double, passages array<struct<first:int,last:int,score:double>>"
 
 
