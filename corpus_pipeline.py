@@ -27,25 +27,29 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.7."""
-    model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).filter("score < 0.7").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8): the one
-    with the smallest id, and of rows that repeat this id one."""
-    found = neardup.near_duplicates(docs, k=5)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null")
-    rest = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    if again.isEmpty():
-        return rest
-    return rest.dropDuplicates(["doc_id", "text"])
+    """One row of each group of near duplicates (five-word shingles, similarity 0.8).
+
+    A document is an id with its text: an id with several texts is several documents, and rows that
+    repeat both, the id missing or not, are one. Only rows that repeat meet each other.
+    """
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = neardup.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), k=5)
+    per_key = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_or("kept").alias("kept")), "dup-keys")
+    gone = per_key.filter("not kept").select(F.col("doc_id").alias("_key"))
+    again = per_key.filter("kept and n > 1").select(F.col("doc_id").alias("_key"))
+    stays = keyed.join(gone, "_key", "left_anti")
+    once = stays.join(again, "_key", "left_semi").dropDuplicates(["_key"])
+    return stays.join(again, "_key", "left_anti").unionByName(once).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixing.mixed_documents(docs, mixing.mix(docs))
+    return mixing.mixed_documents(docs, mixing.plan(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
