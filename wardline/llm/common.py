@@ -64,6 +64,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+_caches: list = []
+
+
+def sole_cache(cache) -> None:
+    """Empty the other caches of this worker process, which serves one operator after the other."""
+    for other in _caches:
+        if other is not cache:
+            other.clear()
+    if not any(c is cache for c in _caches):
+        _caches.append(cache)
+
+
 def per_text(docs: DataFrame, keep: list[str], added: str, start) -> DataFrame:
     """Columns ``keep`` of ``docs`` unchanged, and columns ``added`` computed from ``text``.
 

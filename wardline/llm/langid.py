@@ -208,19 +208,34 @@ def _calibrate(model: Model, held: dict[str, list[str]]) -> None:
 
 
 def sampled(training: DataFrame, rows_per_language: int, chars_per_language: int, seed: int) -> dict[str, list[str]]:
-    """The bounded sample: lang -> texts in seeded order."""
+    """The bounded sample: lang -> texts in seeded order.
+
+    The order is settled on ids, hashes and lengths, a short list per language and partition; the chosen
+    ones, ``rows_per_language`` at most, are then sent to the rows, and only their texts are read out.
+    """
+    texts = training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "lang", "doc_id", "text", F.length("text").alias("n"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_h")
+    )
     by = Window.partitionBy("lang").orderBy("_h", "doc_id", "n")
     few = (
-        training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .select("lang", "doc_id", F.length("text").alias("n"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_h"), "text")
+        texts.select("lang", "doc_id", "n", "_h")
         .withColumn("_r", F.row_number().over(by)).filter(F.col("_r") <= rows_per_language)
         .withColumn("_c", F.sum("n").over(by))
         .filter((F.col("_c") <= chars_per_language) | (F.col("_r") == 1))
     )
+    chosen = few.select("lang", "doc_id", "_h", "_r").collect()
+    if not chosen:
+        return {}
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    wanted = training.sparkSession.createDataFrame([(r["lang"], r["doc_id"], r["_h"]) for r in chosen], f"_l string, _d {kind}, _k long").distinct()
+    same = (F.col("_h") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("lang") == F.col("_l"))
+    found = texts.join(F.broadcast(wanted), same).select("lang", "doc_id", "_h", "text").collect()
+    text_of = {(r["lang"], r["doc_id"], r["_h"]): r["text"] for r in found}
     out = defaultdict(list)
-    for r in few.select("lang", "text", "_r").collect():
-        out[r["lang"]].append((r["_r"], r["text"]))
-    return {k: [t for _, t in sorted(v)] for k, v in out.items()}
+    for r in sorted(chosen, key=lambda r: r["_r"]):
+        if (key := (r["lang"], r["doc_id"], r["_h"])) in text_of:
+            out[r["lang"]].append(text_of[key])
+    return dict(out)
 
 
 def train(

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import partitions, per_text, words
+from wardline.llm.common import partitions, per_text, sole_cache, words
 from wardline.session import written
 
 CACHE_WORDS = 500_000
@@ -87,6 +87,8 @@ def signatures(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
     factors |= np.uint64(1)
 
     def start():
+        sole_cache(_hashes)
+
         def one(text):
             s = shingles(text, k)
             if not len(s):

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import per_text
+from wardline.llm.common import per_text, sole_cache
 from wardline.session import written
 
 CACHE_WORDS = 600_000
@@ -80,6 +80,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, with_ids: boo
         if vocabulary not in _encoders:
             _encoders[vocabulary] = Encoder(vocabulary)
         encoder = _encoders[vocabulary]
+        sole_cache(encoder.known)
 
         def compute(texts):
             out = []
