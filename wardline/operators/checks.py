@@ -16,6 +16,7 @@ from wardline.feeds import FEEDS, FeedConfig, GateLimits
 from wardline.functions.dates import parse_date
 from wardline.functions.numbers import try_number
 from wardline.functions.text import percent_text, quoted_list
+from wardline.operators.joins import SENT_ROWS, about_group
 from wardline.sources.files import lenient_load
 
 GATE, THRESHOLD, ADVISORY = "GATE", "THRESHOLD", "ADVISORY"
@@ -80,13 +81,12 @@ def _cell(position: Column) -> Column:
     return F.get(F.col("cells"), position - 1)
 
 
-def placed_rows(staged: DataFrame, plan: DataFrame) -> DataFrame:
+def placed_rows(staged: DataFrame, plan: DataFrame, most: int = SENT_ROWS) -> DataFrame:
     """Kept rows of the files that passed the gate tier, with their file's positions."""
     at = plan.filter("gate_ok").select(
-        F.col("file_name").alias("_f"), "required_at", "numeric_at", "key_at", "date_at", "category_at", "categories"
+        "file_name", "required_at", "numeric_at", "key_at", "date_at", "category_at", "categories"
     )
-    rows = lenient_load(staged).select("file_name", "cells")
-    return rows.join(at, F.col("file_name") == F.col("_f")).drop("_f")
+    return about_group(lenient_load(staged).select("file_name", "cells"), at, "file_name", most)
 
 
 def file_counters(rows: DataFrame, limits: GateLimits) -> DataFrame:

@@ -81,6 +81,25 @@ def current_join(facts: DataFrame, versions: DataFrame, key: str, *take: Column)
     return facts.join(now, key)
 
 
+SENT_ROWS = 20_000  # facts about groups are sent to all rows up to this many
+DEALS = 64
+
+
+def about_group(rows: DataFrame, facts: DataFrame, key: str, most: int = SENT_ROWS) -> DataFrame:
+    """``rows`` with the columns of their group's one row in ``facts``, however many rows a group has.
+
+    Up to ``most`` facts, counted, are sent to the rows. Beyond, each fact is listed ``DEALS`` times and rows
+    are dealt by key and the number of their input split, so that a group that holds most rows is spread over
+    ``DEALS`` tasks. ``facts`` is a written table.
+    """
+    f = facts.withColumnRenamed(key, "_g")
+    if facts.count() <= most:
+        return rows.join(F.broadcast(f), F.col(key) == F.col("_g")).drop("_g")
+    dealt = rows.withColumn("_deal", F.spark_partition_id() % DEALS)
+    listed = f.withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+    return dealt.join(listed, (F.col(key) == F.col("_g")) & (F.col("_deal") == F.col("_d"))).drop("_g", "_deal", "_d")
+
+
 def _keys(keys: DataFrame, key: str) -> DataFrame:
     # a fresh column, so that keys taken from the joined table itself stay distinguishable
     return keys.select(F.col(key).alias("_key"))

@@ -27,6 +27,19 @@ def version_meta(key: str, run_ts: Column) -> list[Column]:
     ]
 
 
+class RepeatedKeys(ValueError):
+    """A source that holds a key twice has no one version to compare."""
+
+
+def require_unique(source: DataFrame, key: str, named: int = 20) -> None:
+    """Fail with the keys that occur more than once, before any of their copies are paired."""
+    twice = source.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = twice.orderBy(key).limit(named + 1).collect()
+    if first:
+        more = " and more" if len(first) > named else ""
+        raise RepeatedKeys(f"{key} repeated: " + ", ".join(f"{r[key]} ({r['n']} rows)" for r in first[:named]) + more)
+
+
 def first_snapshot(source: DataFrame, key: str, run_ts: Column) -> DataFrame:
     return source.select("*", *version_meta(key, run_ts))
 

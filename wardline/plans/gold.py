@@ -78,6 +78,7 @@ def dim_date(spine: DataFrame) -> DataFrame:
 
 def doctor_snapshot(history: DataFrame | None, dim: DataFrame, run_ts: Column) -> DataFrame:
     source = dim.select(*DOCTOR_COLUMNS)
+    scd2.require_unique(source, "doctor_id")
     if history is None:
         return scd2.first_snapshot(source, "doctor_id", run_ts)
     return scd2.next_snapshot(history, source, "doctor_id", DOCTOR_CHECK, run_ts)

@@ -65,6 +65,20 @@ class Stores:
         return f"{self.root}/files"
 
 
+def recipients(spark: SparkSession, stores: Stores) -> DataFrame:
+    path = stores.log("email_recipient_log")
+    if not Files(spark, stores.root).exists(path):
+        return spark.createDataFrame([], audit.RECIPIENTS)
+    return spark.read.schema(audit.RECIPIENTS).parquet(path)
+
+
+def seed_recipients(spark: SparkSession, stores: Stores, emails: list[str], at: dt.datetime) -> None:
+    """Enter first recipients of failure alerts; a table that has some is left alone."""
+    rows = spark.createDataFrame([(e, audit.FAILURE_ALERT, True, at) for e in emails], audit.RECIPIENTS)
+    if recipients(spark, stores).isEmpty():
+        audit.insert_if_empty(recipients(spark, stores), rows).write.mode("overwrite").parquet(stores.log("email_recipient_log"))
+
+
 def planned(
     spark: SparkSession, stores: Stores, batch_id: str, manifest: Callable[[], DataFrame], at: dt.datetime
 ) -> tuple[DataFrame, dt.datetime]:
@@ -127,10 +141,11 @@ def gate_batch(
     checked = written(c.file_verdicts(results), "verdicts")
     counts = written(files.ragged_counts(staged), "row-counts")
 
-    good = checked.filter(F.col("status") == c.PASSED).select("file_name")
+    good = written(checked.filter(F.col("status") == c.PASSED).select("file_name"), "good-files")
+    loading = in_keys(headers, good, "file_name")  # few: the rows meet their files' headers only
     ready, faults = {}, None
     for cfg in FEEDS.values():
-        rows = files.named_cells(in_keys(staged, good, "file_name"), headers, cfg)
+        rows = files.named_cells(staged, loading, cfg)
         ragged = in_keys(counts.filter(files.feed_of(F.col("file_name")) == cfg.name), good, "file_name")
         ready[cfg.name], bad = bronze.loadable(files.with_load_stamp(rows, stamp), ragged, cfg)
         faults = bad if faults is None else faults.unionByName(bad)
@@ -146,6 +161,8 @@ def gate_batch(
     log = written(audit.file_log(verdicts, counts.withColumnRenamed("kept", "n"), batch_id, stamp), "file-log")
     audit.append_log(audit.check_log(results.unionByName(found), batch_id, stamp), stores.log("dq_metrics_log"), batch_id)
     audit.append_log(log, stores.log("file_processing_log"), batch_id)
+    told = audit.addressed(audit.quarantine_messages(log), recipients(spark, stores))
+    audit.append_log(told.drop("run_id", "file_name"), stores.log("alert_outbox"), batch_id)
     Files(spark, stores.root).create(f"{stores.batch(batch_id)}/gated", "")
     summary = c.run_summary(log).first()
     if summary:

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators.checks import PASSED
+from wardline.operators.joins import about_group
 
 
 def routed_lines(lines: DataFrame, verdicts: DataFrame, run_stamp: str) -> DataFrame:
     """Raw lines with the folder their file belongs to."""
-    to = verdicts.select(F.col("file_name").alias("_f"), folder_of(F.col("status")).alias("folder"))
-    return lines.join(to, F.col("file_name") == F.col("_f")).select(
+    to = verdicts.select("file_name", folder_of(F.col("status")).alias("folder"))
+    return about_group(lines, to, "file_name").select(
         "folder", F.lit(run_stamp).alias("run_stamp"), "file_name", "line_no", "line"
     )
 
@@ -24,11 +25,10 @@ def write_lines(routed: DataFrame, path: str) -> None:
     """Lines as text under ``folder=/run_stamp=/file_name=``.
 
     No repartitioning: each task writes the lines it has read, so a huge file stays spread over
-    tasks. A run writes only below its own stamp.
+    tasks. A run writes only below its own stamp, and a repeated run replaces its files there.
     """
-    routed.select("folder", "run_stamp", "file_name", F.col("line").alias("value")).write.mode("append").partitionBy(
-        "folder", "run_stamp", "file_name"
-    ).text(path)
+    out = routed.select("folder", "run_stamp", "file_name", F.col("line").alias("value"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("folder", "run_stamp", "file_name").text(path)
 
 
 def move_files(spark: SparkSession, verdicts: DataFrame, incoming: str, root: str, run_stamp: str) -> int:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wardline.feeds import FEEDS, FeedConfig
 from wardline.functions.text import base_name, blank_to_null, header_name
+from wardline.operators.joins import about_group
 from wardline.session import written
 
 CSV_OPTIONS = {
@@ -203,8 +204,8 @@ def lenient_load(staged: DataFrame) -> DataFrame:
 
 def named_cells(staged: DataFrame, headers: DataFrame, cfg: FeedConfig) -> DataFrame:
     """The feed's columns by header name, not by position; a missing one is NULL."""
-    h = headers.filter(F.col("feed") == cfg.name).select(F.col("file_name").alias("_f"), "header")
-    rows = lenient_load(staged).filter(F.col("feed") == cfg.name).join(h, F.col("file_name") == F.col("_f"))
+    h = headers.filter(F.col("feed") == cfg.name).select("file_name", "header")
+    rows = about_group(lenient_load(staged).filter(F.col("feed") == cfg.name), h, "file_name")
     at = lambda c: F.get(F.col("cells"), F.nullif(F.array_position("header", c), F.lit(0)).cast("int") - 1)
     return rows.select(*[at(c).alias(c) for c in cfg.columns], "file_name", "upload_dttm")
 
