@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from wardline.session import scratch_root
+
 # A word is a run of characters other than space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -41,6 +43,17 @@ def partitions(spark: SparkSession, at_least: int = 1) -> int:
     return max(at_least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def remove_written(*tables: DataFrame) -> None:
+    """Remove the files of tables made by ``written`` once their last reader has run."""
+    for df in tables:
+        spark = df.sparkSession
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if scratch_root(spark).split(":", 1)[-1].lstrip("/") in folder:
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _shipped: set[str] = set()
 
 

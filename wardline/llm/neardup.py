@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import partitions, per_text, sole_cache, words
+from wardline.llm.common import partitions, per_text, remove_written, sole_cache, words
 from wardline.session import written
 
 CACHE_WORDS = 500_000
@@ -163,7 +163,7 @@ def numbered(components: DataFrame, size: int = 128) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union of their shingle sets.
+    """Pairs (a, b) with 100 * intersection >= percent * union of their shingle sets, a written table.
 
     Pairs are dealt by the blocks of their ends; a task loads each set of two blocks once, however
     many pairs it is in.
@@ -185,7 +185,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, components: DataFrame, percent:
             keep.append(100 * both >= percent * (len(x) + len(y) - both))
         return left.loc[keep, ["a", "b"]] if len(left) else left[["a", "b"]]
 
-    return dealt.groupBy("p", "q").cogroup(loaded.groupBy("r", "s")).applyInPandas(run, "a long, b long")
+    links = dealt.groupBy("p", "q").cogroup(loaded.groupBy("r", "s")).applyInPandas(run, "a long, b long")
+    links = written(links, "dup-links")
+    remove_written(dealt, blocks)
+    return links
 
 
 def _differing(x: str, y: str) -> Column:
@@ -204,7 +207,7 @@ def across_components(
     members: DataFrame, components: DataFrame, described: DataFrame, percent: int, most_differing: int
 ) -> DataFrame:
     """Pairs (a < b) that share a table, lie in different components, and whose sizes and sketches
-    allow the threshold."""
+    allow the threshold, a written table."""
     placed = members.select("bucket", "id").join(components, "id")
     groups = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p != q")
     mixed = written(placed.join(groups.select("bucket"), "bucket").join(described, "id"), "dup-mixed")
@@ -235,7 +238,9 @@ def across_components(
         (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.q") == F.col("y.component"))
         & (100 * small >= percent * large) & (_differing("x", "y") <= most_differing),
     )
-    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    pairs = written(pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "dup-across")
+    remove_written(mixed)
+    return pairs
 
 
 def drawn_pairs(members: DataFrame, described: DataFrame, percent: int, most_differing: int) -> DataFrame:
@@ -312,6 +317,7 @@ def near_duplicates(
     tables = written(tables, "dup-tables")
     leaders = tables.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader != last")
     members = written(tables.join(leaders.select("bucket", "leader"), "bucket"), "dup-members")
+    remove_written(tables)
     wanted = members.select("id").distinct()
     reps = classes.select("id", "copy", "rep").join(wanted, "id")
     full = per_text(
@@ -325,7 +331,7 @@ def near_duplicates(
     first = written(first.union(drawn_pairs(members, described, percent, most_differing)).distinct(), "dup-first")
     nodes = written(wanted, "dup-nodes")
     alone = nodes.select("id", F.col("id").alias("component"))
-    links = written(confirmed(first, sets, alone, percent), "dup-links")
+    links = confirmed(first, sets, alone, percent)
     components = connected(nodes, links)
     checked = first
     # The most alike first and from a twelfth of the tables, so that the last step, which leaves
@@ -334,9 +340,9 @@ def near_duplicates(
         used = members if limit == most_differing else members.filter("diagonal")
         pairs = across_components(used, components, described, percent, limit)
         pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "dup-pairs")
-        more = written(confirmed(pairs, sets, components, percent), "dup-links")
-        components = merged(components, more)
+        components = merged(components, confirmed(pairs, sets, components, percent))
         checked = checked.union(pairs)
+    remove_written(sets, members)
     grouped = classes.select("copy", "rep", "id").join(components, "id", "left").select(
         "copy", "rep", F.coalesce("component", "id").alias("component")
     )
