@@ -203,11 +203,12 @@ class TableStore:
             needed |= lists
             for version in lists:
                 needed |= {r[0] for r in self.ranges(name, version).select("version").distinct().toLocalIterator()}
-        newest, gone = kept[0].version, set()
+        gone = set()
         for folder in ("ledger", *(f"{k}/{n}" for k in ("tables", "ranges") for n in self.files.names(f"{self.root}/{k}"))):
             for entry in self.files.names(f"{self.root}/{folder}"):
                 version = entry.removeprefix("version=")
-                if version < newest and version not in needed:
+                # A transaction that is under way has a higher number than the newest pointer.
+                if int(version[:12]) <= kept[0].number and version not in needed:
                     self.files.remove(f"{self.root}/{folder}/{entry}")
                     gone.add(version)
         for number in self.numbers():
