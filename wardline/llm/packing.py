@@ -17,6 +17,7 @@ empty table has no sequences; further columns are ignored.
 from __future__ import annotations
 
 import bisect
+import os
 import re
 import zlib
 from collections import defaultdict
@@ -55,6 +56,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Tasks run side by side already; threads of each worker only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
