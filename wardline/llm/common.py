@@ -80,12 +80,12 @@ def ship(spark: SparkSession) -> None:
 _caches: list = []
 
 
-def sole_cache(cache) -> None:
-    """Empty the other caches of this worker process, which serves one operator after the other."""
+def sole_cache(cache=None) -> None:
+    """Empty all other caches of this worker process, which serves one operator after the other."""
     for other in _caches:
         if other is not cache:
             other.clear()
-    if not any(c is cache for c in _caches):
+    if cache is not None and not any(c is cache for c in _caches):
         _caches.append(cache)
 
 

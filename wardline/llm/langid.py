@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import per_text
+from wardline.llm.common import per_text, sole_cache
 
 LETTER = regex.compile(r"\p{L}")
 SIDE = regex.compile(r"^[^\p{L}\p{M}]+|[^\p{L}\p{M}]+$")
@@ -267,6 +267,7 @@ def predict(docs: DataFrame, model: Model | None, tolerance: float = 10.0, keep:
 
     def start():
         model = shared.value
+        sole_cache()
         scorer = Scorer(model) if model else None
 
         def one(e, n):

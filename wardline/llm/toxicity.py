@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import per_text
+from wardline.llm.common import per_text, sole_cache
 from wardline.session import written
 
 # Punctuation of ASCII separates words here; it says nothing about toxicity.
@@ -260,6 +260,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
 
     def start():
         model = shared.value
+        sole_cache()
 
         def compute(texts):
             found = [model.passages(t) for t in texts]
