@@ -324,3 +324,36 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, sf):
         docs = corpus_pipeline.written(stage(spark, docs, sf), f"test-{name}")
         assert docs.columns == table(spark, sf, "documents").columns
     assert 0.5 * start < docs.count() <= start
+
+
+def test_bit_maps_and_hubs_lose_no_link(spark):
+    """300 variants of one text, many of them just above or below the threshold, against all pairs."""
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for v in range(300):
+        own = list(base)
+        for at in rng.choice(150, rng.integers(0, 9), replace=False):
+            own[at] = f"x{v}-{at}"
+        texts.append(" ".join(own))
+    sets = [set(neardup.shingles(t, 4).tolist()) for t in texts]
+    parent = list(range(300))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(300):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+                level, x = neardup._bit_map(neardup.shingles(texts[i], 4))
+                y = neardup._bit_map(neardup.shingles(texts[j], 4))[1]
+                differing = sum((p ^ q).bit_count() if p ^ q >= 0 else ((p ^ q) + 2**64).bit_count() for p, q in zip(x, y))
+                assert level == 0 and differing <= len(sets[i] ^ sets[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, k=4).collect()}
+    assert got == {i: find(i) for i in range(300)}

@@ -8,15 +8,17 @@ table with probability (1 - (1 - s^rows)^bands)^2, 0.9996 at s = 0.8 and 0.99999
 
 Copies (equal shingle sets) are one class first. A class whose sub-keys nobody shares leaves early; of the
 others, only shared sub-keys form table keys. Links are confirmed on full shingle sets:
-1. each class is checked against the smallest class of all its tables, and against the ``PICKS`` most
-   alike of the classes that one draw per table picks; confirmed links make components. The draws of
-   different tables differ, so that a large group of near copies grows together although few of them
-   are alike enough to any one of them;
-2. in each table that still holds several components, members of different components whose
-   sizes and bit sketches allow the threshold are checked, so that no link is lost to the choice of
-   representatives: the most alike pairs first, then all. Members of one component are never paired.
-No table is gathered in one task: tables are aggregated to their smallest member and joined back,
-and joins are split where they are skewed.
+1. each class is checked against the hub of each of its tables, the class whose sub-keys most classes
+   share: of a group of near copies that is one with few changes, alike to most others. Confirmed
+   links make components;
+2. in each table that still holds several components, members of different components are checked, so
+   that no link is lost to the choice of hubs. Members of one component are never paired.
+A pair is checked only if sizes and bit maps allow the threshold. A map of 512 bits holds the parity of the
+shingles that fall on each bit; maps differ in at most as many bits as sets differ in shingles, so for sets of
+up to 512 shingles this excludes no link. Larger sets map a fraction of their shingles, chosen by hash, and
+the bound is four standard deviations wider (3 in 100,000 of the links at the threshold itself, fewer above).
+No table is gathered in one task: tables are aggregated to their hub and joined back, and joins are
+split where they are skewed.
 
 Defined results: null, empty and word-less texts have no shingles and link with nothing; fewer words
 than ``k`` are one shingle, the whole sequence; further columns are ignored; rows that repeat get a row
@@ -39,8 +41,9 @@ from wardline.llm.common import partitions, per_text, remove_written, sole_cache
 from wardline.session import written
 
 CACHE_WORDS = 500_000
-PICKS = 4
-EARLY = (14,)  # differing sketch fields allowed in the early round of step 2
+MAP_WORDS = 8
+MAP_BITS = 64 * MAP_WORDS
+MAP = ("level", *(f"bits{i}" for i in range(MAP_WORDS)))
 
 
 class _Hashes(dict):
@@ -74,13 +77,27 @@ def _copy_of(raw: bytes) -> list[int]:
     return [xxhash.xxh64_intdigest(raw, seed) - 2**63 for seed in (1, 2)]
 
 
-def _full_set(text: str | None, k: int) -> tuple[list[int], bytes]:
-    raw = shingles(text, k).tobytes()
-    return _copy_of(raw), raw
+def _bit_map(s: np.ndarray) -> tuple[int, list[int]]:
+    """Level and bit map of a set: parities of the shingles whose hash ends in ``level`` zero bits."""
+    level = 0
+    while len(s) >> level > MAP_BITS:
+        level += 1
+    with np.errstate(over="ignore"):
+        h = s * np.uint64(0x9E3779B97F4A7C15)
+    h = h[h & np.uint64((1 << level) - 1) == 0]
+    odd = np.bincount((h >> np.uint64(64 - 9)).astype("i8"), minlength=MAP_BITS) & 1
+    return level, np.packbits(odd.astype("u1")).view("i8").tolist()
+
+
+def _full_set(text: str | None, k: int) -> tuple:
+    s = shingles(text, k)
+    level, bits = _bit_map(s)
+    raw = s.tobytes()
+    return _copy_of(raw), raw, len(s), level, *bits
 
 
 def signatures(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
-    """doc_id, n_shingles, copy (two hashes of the set), left and right sub-keys, bit sketch."""
+    """doc_id, n_shingles, copy (two hashes of the set), left and right sub-keys."""
     count = 2 * rows * bands
     rng = np.random.default_rng(20)
     flips, factors = rng.integers(0, 2**64, (2, count), "u8")
@@ -92,7 +109,7 @@ def signatures(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
         def one(text):
             s = shingles(text, k)
             if not len(s):
-                return 0, None, None, None, None, None
+                return 0, None, None, None
             raw = s.tobytes()
             with np.errstate(over="ignore"):
                 least = np.full(count, 2**64 - 1, "u8")
@@ -103,16 +120,12 @@ def signatures(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
                 key = sub[:, 0].copy()
                 for r in range(1, rows):
                     key = (key ^ (sub[:, r] >> np.uint64(7))) * np.uint64(0xD6E8FEB86659FD93) + sub[:, r]
-                # Two bits of each of the first 64 minhashes.
-                bits = np.zeros(64, "u8")
-                bits[: count] = (least[:64] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(62)
-                sketch = np.bitwise_or.reduce(bits.reshape(2, 32) << (2 * np.arange(32)).astype("u8"), axis=1)
             key = key.view("i8").tolist()
-            return len(s), _copy_of(raw), key[:bands], key[bands:], *sketch.view("i8").tolist()
+            return len(s), _copy_of(raw), key[:bands], key[bands:]
 
         return lambda texts: list(zip(*map(one, texts)))
 
-    added = "n_shingles long, copy array<long>, left array<long>, right array<long>, sketch1 long, sketch2 long"
+    added = "n_shingles long, copy array<long>, left array<long>, right array<long>"
     return per_text(docs, ["doc_id"], added, start)
 
 
@@ -191,77 +204,43 @@ def confirmed(pairs: DataFrame, sets: DataFrame, components: DataFrame, percent:
     return links
 
 
-def _differing(x: str, y: str) -> Column:
-    """Two-bit fields that are certain to differ between the sketches of two sides; each side has the
-    bits that are set in all, and in any, of its members."""
-    total = F.lit(0)
-    for b in ("sketch1", "sketch2"):
-        one, two, any1, any2 = (F.col(f"{s}.{b}_{end}") for end in ("all", "any") for s in (x, y))
-        sure = one.bitwiseOR(F.bitwise_not(any1)).bitwiseAND(two.bitwiseOR(F.bitwise_not(any2)))
-        d = one.bitwiseXOR(two).bitwiseAND(sure)
-        total = total + F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return total
-
-
-def across_components(
-    members: DataFrame, components: DataFrame, described: DataFrame, percent: int, most_differing: int
-) -> DataFrame:
-    """Pairs (a < b) that share a table, lie in different components, and whose sizes and sketches
-    allow the threshold, a written table."""
-    placed = members.select("bucket", "id").join(components, "id")
+def allowed(x: str, y: str, percent: int) -> Column:
+    """Whether sizes and bit maps of two sides leave room for the threshold."""
+    small, large = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
+    differing = sum(F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in MAP[1:])
+    level = F.col(f"{x}.level")
+    most = (small + large) * ((100 - percent) / (100 + percent)) / F.pow(F.lit(2.0), level)
+    room = most + F.when(level > 0, 4 * F.sqrt(most)).otherwise(1e-6)
+    return (100 * small >= percent * large) & ((level != F.col(f"{y}.level")) | (differing <= room))
+
+
+def hub_pairs(tables: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of each class and the hubs of its tables: at most one per class and table."""
+    hubs = tables.groupBy("bucket").agg(F.max(F.struct("weight", "id")).alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = tables.join(hubs.select("bucket", F.col("hub.id").alias("hub")), "bucket").filter("id != hub").select(
+        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")
+    ).distinct()
+    x, y = described.alias("x"), described.alias("y")
+    return pairs.join(x, F.col("a") == F.col("x.id")).join(y, (F.col("b") == F.col("y.id")) & allowed("x", "y", percent)).select("a", "b")
+
+
+def across_components(tables: DataFrame, components: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) that share a table, lie in different components, and whose sizes and bit maps
+    allow the threshold."""
+    placed = tables.select("bucket", "id").join(components, "id")
     groups = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p != q")
     mixed = written(placed.join(groups.select("bucket"), "bucket").join(described, "id"), "dup-mixed")
-    bits = ("sketch1", "sketch2")
-    # What all members of a component agree on bounds what any two members can have in common.
-    kinds = mixed.groupBy("bucket", "component").agg(
-        F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"),
-        *[F.bit_and(b).alias(f"{b}_all") for b in bits], *[F.bit_or(b).alias(f"{b}_any") for b in bits],
-    )
-    across = kinds.alias("s").join(
-        kinds.alias("t"),
-        (F.col("s.bucket") == F.col("t.bucket")) & (F.col("s.component") < F.col("t.component"))
-        & (100 * F.col("s.high") >= percent * F.col("t.low")) & (100 * F.col("t.high") >= percent * F.col("s.low"))
-        & (_differing("s", "t") <= most_differing),
-    ).select(F.col("s.bucket").alias("bucket"), F.col("s.component").alias("p"), F.col("t.component").alias("q"))
-    member = lambda name: mixed.select(
-        "bucket", "component", "id", F.col("n_shingles").alias("low"),
-        *[F.col(b).alias(f"{b}_{end}") for b in bits for end in ("all", "any")],
-    ).alias(name)
-    x, y = member("x"), member("y")
-    own = [F.col(f"x.{c}").alias(c) for c in x.columns if c not in ("bucket", "component")]
-    half = across.alias("k").join(
-        x, (F.col("k.bucket") == F.col("x.bucket")) & (F.col("k.p") == F.col("x.component"))
-    ).select(F.col("k.bucket").alias("bucket"), F.col("k.q").alias("q"), *own)
-    small, large = F.least("x.low", "y.low"), F.greatest("x.low", "y.low")
-    pairs = half.alias("x").join(
+    x, y = mixed.alias("x"), mixed.alias("y")
+    met = x.join(
         y,
-        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.q") == F.col("y.component"))
-        & (100 * small >= percent * large) & (_differing("x", "y") <= most_differing),
+        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & allowed("x", "y", percent),
     )
-    pairs = written(pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "dup-across")
+    pairs = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    pairs = written(pairs, "dup-across")
     remove_written(mixed)
     return pairs
 
 
-def drawn_pairs(members: DataFrame, described: DataFrame, percent: int, most_differing: int) -> DataFrame:
-    """Pairs (a < b) of each class and the ``PICKS`` most alike of the classes drawn in its tables: a
-    number of pairs that grows with the classes, whatever the size of their groups."""
-    draws = members.groupBy("bucket").agg(F.min_by("id", F.xxhash64("id", "bucket")).alias("pick"))
-    pairs = members.join(draws, "bucket").filter("id != pick").select("id", "pick").distinct()
-    side = lambda name: F.struct(
-        "n_shingles", *[F.col(b).alias(f"{b}_{end}") for b in ("sketch1", "sketch2") for end in ("all", "any")]
-    ).alias(name)
-    both = pairs.join(described.select("id", side("x")), "id").join(
-        described.select(F.col("id").alias("pick"), side("y")), "pick"
-    )
-    small, large = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
-    near = both.withColumn("d", _differing("x", "y")).filter((100 * small >= percent * large) & (F.col("d") <= most_differing))
-    # At most one draw per table of a class, so these lists are short.
-    best = near.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "pick"))), 1, PICKS).alias("best"))
-    named = best.select("id", F.explode("best.pick").alias("pick"))
-    return named.select(F.least("id", "pick").alias("a"), F.greatest("id", "pick").alias("b"))
-
-
 def merged(components: DataFrame, links: DataFrame) -> DataFrame:
     """Components after further links (a, b) between their members."""
     if links.isEmpty():
@@ -280,69 +259,51 @@ def merged(components: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(
-    docs: DataFrame, k: int = 5, percent: int = 80, rows: int = 3, bands: int = 12, most_differing: int = 20
-) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of ``docs`` (doc_id, text).
-
-    ``most_differing``: of the 64 two-bit fields of the sketches, so many may differ in a pair that is
-    checked in step 2. At similarity 0.8 the number is binomial (64, 0.15), and above 20 twice in 10,000.
-    """
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = 3, bands: int = 12) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of ``docs`` (doc_id, text)."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(signatures(source, k, rows, bands), "dup-signatures")
     # Classes have numbers of their own: an id with two texts is in two classes.
     classes = written(
         signed.filter("n_shingles > 0 and doc_id is not null").groupBy("copy").agg(
-            F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", "left", "right", "sketch1", "sketch2")]
+            F.min("doc_id").alias("rep"), F.first("left").alias("left"), F.first("right").alias("right")
         ).withColumn("id", F.monotonically_increasing_id()),
         "dup-classes",
     )
-    # Sub-keys that at least two classes share; per class the shared ones of either side.
-    sub = classes.select(
-        "id", F.posexplode(F.concat("left", "right")).alias("i", "key")
-    )
-    shared = sub.groupBy("i", "key").agg(F.min("id").alias("p"), F.max("id").alias("q")).filter("p != q")
+    # Sub-keys that at least two classes share; per class the shared ones of either side, and how many
+    # classes share them in all.
+    sub = classes.select("id", F.posexplode(F.concat("left", "right")).alias("i", "key"))
+    shared = sub.groupBy("i", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     alive = (
         sub.join(shared, ["i", "key"]).groupBy("id")
         .agg(
             F.collect_list(F.when(F.col("i") < bands, F.struct("i", "key"))).alias("l"),
             F.collect_list(F.when(F.col("i") >= bands, F.struct("i", "key"))).alias("r"),
+            F.sum("n").alias("weight"),
         )
         .filter((F.size("l") > 0) & (F.size("r") > 0))
     )
-    tables = (
-        alive.select("id", F.explode("l").alias("x"), "r").select("id", "x", F.explode("r").alias("y"))
-        .select("id", F.xxhash64("x", "y").alias("bucket"), (F.col("y.i") - F.col("x.i") == bands).alias("diagonal"))
+    tables = written(
+        alive.select("id", "weight", F.explode("l").alias("x"), "r").select("id", "weight", "x", F.explode("r").alias("y"))
+        .select("id", "weight", F.xxhash64("x", "y").alias("bucket")),
+        "dup-tables",
     )
-    tables = written(tables, "dup-tables")
-    leaders = tables.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader != last")
-    members = written(tables.join(leaders.select("bucket", "leader"), "bucket"), "dup-members")
-    remove_written(tables)
-    wanted = members.select("id").distinct()
-    reps = classes.select("id", "copy", "rep").join(wanted, "id")
+    nodes = written(tables.select("id").distinct(), "dup-nodes")
+    reps = classes.select("id", "copy", "rep").join(nodes, "id")
     full = per_text(
         source.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), ["doc_id"],
-        "copy array<long>, shingles binary", lambda: lambda texts: zip(*(_full_set(t, k) for t in texts)),
+        f"copy array<long>, shingles binary, n int, {', '.join(f'{c} long' for c in MAP)}",
+        lambda: lambda texts: zip(*(_full_set(t, k) for t in texts)),
     )
     # By copy, not by id: an id's other text is another class.
-    sets = written(full.dropDuplicates(["copy"]).join(reps.select("copy", "id"), "copy").select("id", "shingles"), "dup-sets")
-    described = classes.select("id", "n_shingles", "sketch1", "sketch2")
-    first = members.filter("id != leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a")).select("a", "b")
-    first = written(first.union(drawn_pairs(members, described, percent, most_differing)).distinct(), "dup-first")
-    nodes = written(wanted, "dup-nodes")
+    sets = written(full.drop("doc_id").dropDuplicates(["copy"]).join(reps.select("copy", "id"), "copy").drop("copy"), "dup-sets")
+    described = sets.select("id", "n", *MAP)
+    first = written(hub_pairs(tables, described, percent), "dup-first")
     alone = nodes.select("id", F.col("id").alias("component"))
-    links = confirmed(first, sets, alone, percent)
-    components = connected(nodes, links)
-    checked = first
-    # The most alike first and from a twelfth of the tables, so that the last step, which leaves
-    # nothing out, finds most links already made and few pairs to check.
-    for limit in (*(x for x in EARLY if x < most_differing), most_differing):
-        used = members if limit == most_differing else members.filter("diagonal")
-        pairs = across_components(used, components, described, percent, limit)
-        pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "dup-pairs")
-        components = merged(components, confirmed(pairs, sets, components, percent))
-        checked = checked.union(pairs)
-    remove_written(sets, members)
+    components = connected(nodes, confirmed(first, sets, alone, percent))
+    rest = across_components(tables, components, described, percent).join(first, ["a", "b"], "left_anti")
+    components = merged(components, confirmed(written(rest, "dup-rest"), sets, components, percent))
+    remove_written(sets, tables)
     grouped = classes.select("copy", "rep", "id").join(components, "id", "left").select(
         "copy", "rep", F.coalesce("component", "id").alias("component")
     )
