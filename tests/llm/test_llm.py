@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -357,3 +358,62 @@ def test_bit_maps_and_hubs_lose_no_link(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, k=4).collect()}
     assert got == {i: find(i) for i in range(300)}
+
+
+def _story(i, n, extra=""):
+    return "".join(f"<p>Part {k} of story {i} tells of thing {i * 1000 + k}.{extra}</p>" for k in range(n))
+
+
+def _told(i, n):
+    return "\n\n".join(f"Part {k} of story {i} tells of thing {i * 1000 + k}." for k in range(n))
+
+
+@pytest.mark.parametrize(
+    "layout, sizes",
+    [
+        # A class name that sounds like a form, an advert that varies, a notice on every page inside the article.
+        ("<body><div class='story-form'>{story}</div><div>Kept by all</div></body>", (5, 7, 9, 6)),
+        ("<body><div class='article-search'>{story}</div></body>", (5, 7, 9, 6)),
+        ("<body><div class='ad'>Buy {i}</div><article>{story}</article><footer>F {i}</footer></body>", (3, 2, 4, 3)),
+        ("<body><article><p>Same notice on all pages.</p>{story}</article></body>", (5, 7, 9, 6)),
+        ("<body><div id=x>{story}</div><div>All rights kept</div></body>", (250, 260, 251, 300)),
+        ("<body><div id=x>{story}</div><div>All rights kept</div></body>", (1100, 900, 1000, 1200)),
+        ("<body><table><tr><td>Home</td></tr></table><main>{story}</main><div>n{i}</div></body>", (5, 7, 9, 6)),
+        ("<body><nav>N {i}</nav><section>{story}</section><!-- <p>no</p> --><aside>A {i}</aside></body>", (4, 4, 4, 4)),
+        ("<body><article>{story}<div class='comments'>Reader {i} says no</div></article></body>", (5, 7, 9, 6)),
+    ],
+)
+def test_wrapper_decides(layout, sizes):
+    pages = [layout.format(i=i, story=_story(i, n)) for i, n in enumerate(sizes)]
+    template, slot = wrappers.induce(pages)
+    assert [wrappers.extract(p, frozenset(template), slot) for p in pages] == [_told(i, n) for i, n in enumerate(sizes)]
+
+
+def test_near_copies_on_a_host_keep_what_they_share():
+    pages = [f"<body><nav>{i}</nav><article>{_story(1, 9)}<p>Only {i}.</p></article></body>" for i in range(4)]
+    template, slot = wrappers.induce(pages)
+    assert [wrappers.extract(p, frozenset(template), slot) for p in pages] == [f"{_told(1, 9)}\n\nOnly {i}." for i in range(4)]
+
+
+def test_single_pages_are_read_by_their_own_marks():
+    cases = {
+        "<div class='story-form'><p>Told.</p></div>": "Told.",
+        "<header>H</header><article><header><h1>T</h1></header><p>A<br>B &amp; C</p></article><p>out</p>": "T\n\nA B & C",
+        "<div class='cookie-notice'>Yes?</div><p>Long enough text here.</p>": "Long enough text here.",
+        "<p>1 < 2 and 3 > 2": "1 < 2 and 3 > 2",
+        "<p title='a > b'>x</p><p>y <b>z</p>": "x\n\ny z",
+        "<script>var t='</p>';</script><p>x</p><style>p{}</style>": "x",
+        "<div role=navigation>n</div><div hidden>h</div><p>x</p>": "x",
+        "<!-- <p>no -->yes<!-- open": "yes",
+        "": "", "<p></p>": "", "<": "<",
+    }
+    assert {page: wrappers.extract(page) for page in cases} == cases
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<div>", "<script ", "<!-", "<", "</", '<p class="a'])
+def test_hostile_pages_take_linear_time(piece):
+    """A megabyte each; ends in seconds or, if time grew with the square of the length, in hours."""
+    page = piece * (1_000_000 // len(piece)) + ">told"
+    start = time.process_time()
+    wrappers.extract(page)
+    assert time.process_time() - start < 20
