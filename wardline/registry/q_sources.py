@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -34,8 +35,8 @@ def raw_lines(spark, sf):
     return files.csv_raw_lines_scan(spark, g.incoming(spark, sf), WIDEST)
 
 
-def feed_scan(spark, sf):
-    df = files.csv_feed_scan(spark, g.incoming(spark, sf) + "/insurance_claims_*.csv", CLAIMS)
+def feed_scan(spark, sf, feed=CLAIMS):
+    df = files.csv_feed_scan(spark, g.incoming(spark, sf) + f"/{feed.name}_*.csv", feed)
     return df.drop("upload_dttm")
 
 
@@ -66,25 +67,25 @@ def router(spark, sf):
     return routed.groupBy("file_name", "feed").agg(F.count(F.lit(1)).alias("n"))
 
 
-def lineage(spark, sf):
+def lineage(spark, sf, feed=CLAIMS):
     heads, staged = g.read_folder(spark, sf)
-    rows = files.with_load_stamp(files.named_cells(staged, heads, CLAIMS), F.lit(AT))
-    return rows.select("claim_id", "file_name", F.col("upload_dttm").isNotNull().alias("has_upload"), "load_dttm")
+    rows = files.with_load_stamp(files.named_cells(staged, heads, feed), F.lit(AT))
+    return rows.select(feed.key, "file_name", F.col("upload_dttm").isNotNull().alias("has_upload"), "load_dttm")
 
 
-def projection(spark, sf):
+def projection(spark, sf, feed=TREATMENTS):
     heads, staged = g.read_folder(spark, sf)
-    return files.named_cells(staged, heads, TREATMENTS).drop("upload_dttm")
+    return files.named_cells(staged, heads, feed).drop("upload_dttm")
 
 
-def strict(spark, sf):
-    """The admissions files that pass, typed all or nothing."""
+def strict(spark, sf, feed=ADMISSIONS):
+    """The feed's files that pass, typed all or nothing."""
     heads, staged = g.read_folder(spark, sf)
     m_ = files.recognised(files.file_manifest(spark, g.incoming(spark, sf)))
     verdicts = c.file_verdicts(c.check_rows(c.file_plan(m_, heads), staged))
     good = written(verdicts.filter(F.col("status") == c.PASSED).select("file_name"), "good")
-    rows = files.named_cells(in_keys(staged, good, "file_name"), heads, ADMISSIONS)
-    return bronze.strict_load(rows, ADMISSIONS).drop("upload_dttm")
+    rows = files.named_cells(in_keys(staged, good, "file_name"), heads, feed)
+    return bronze.strict_load(rows, feed).drop("upload_dttm")
 
 
 def seeds(spark, sf):
@@ -140,16 +141,31 @@ QUERIES = {
 }
 
 _all_cells = ", ".join(f"cells[{i + 1}] AS c{i}" for i in range(WIDEST))
-_named = ", ".join(f"{sg.cell(x)} AS {x}" for x in TREATMENTS.columns)
 _name_case = "CASE o_orderkey % 5 " + " ".join(
     f"WHEN {i} THEN '{n.rsplit('/', 1)[-1].replace('{y}', chr(39) + ' || year(o_orderdate) || ' + chr(39))}'" for i, n in enumerate(_NAMES)
 ) + " END"
 m.RELATIONS["stream_claims"] = sg.landed("insurance_claims")
 
+
+
+def _scan_sql(feed):
+    cells = ", ".join(f"cells[{i + 1}] AS {x}" for i, x in enumerate(feed.columns))
+    return query(f"SELECT {cells}, file_name FROM gate_cells WHERE feed = '{feed.name}'")
+
+
+def _lineage_sql(feed):
+    return query(
+        f"SELECT {sg.cell(feed.key)} AS {feed.key}, file_name, TRUE AS has_upload, '{LOADED_AT}' AS load_dttm FROM gate_kept WHERE feed = '{feed.name}'"
+    )
+
+
+def _projection_sql(feed):
+    named = ", ".join(f"{sg.cell(x)} AS {x}" for x in feed.columns)
+    return query(f"SELECT {named}, file_name FROM gate_kept WHERE feed = '{feed.name}'")
+
+
 ORACLE = {
-    "csv_feed_scan": query(
-        "SELECT " + ", ".join(f"cells[{i + 1}] AS {x}" for i, x in enumerate(CLAIMS.columns)) + ", file_name FROM gate_cells WHERE feed = 'insurance_claims'"
-    ),
+    "csv_feed_scan": _scan_sql(CLAIMS),
     "csv_raw_lines_scan": query(f"SELECT file_name, {_all_cells} FROM (SELECT file_name, {sg._CUT} AS cells FROM gate_lines)"),
     "file_header": query("SELECT file_name, feed, array_to_string(header, '|') AS header FROM gate_named"),
     "file_manifest": query("SELECT file_name, feed, CAST(size AS BIGINT) AS size FROM gate_files"),
@@ -157,10 +173,8 @@ ORACLE = {
         f"""SELECT file_name, CASE WHEN lower(file_name) LIKE '%patient_admissions%' THEN 'patient_admissions' ELSE 'treatment_records' END AS feed, count(*) AS n
 FROM (SELECT {_name_case} AS file_name FROM orders) WHERE file_name LIKE '%.csv' AND lower(file_name) NOT LIKE 'lab%' GROUP BY ALL"""
     ),
-    "file_lineage_columns": query(
-        f"SELECT {sg.cell('claim_id')} AS claim_id, file_name, TRUE AS has_upload, '{LOADED_AT}' AS load_dttm FROM gate_kept WHERE feed = 'insurance_claims'"
-    ),
-    "feed_projection": query(f"SELECT {_named}, file_name FROM gate_kept WHERE feed = 'treatment_records'"),
+    "file_lineage_columns": _lineage_sql(CLAIMS),
+    "feed_projection": _projection_sql(TREATMENTS),
     "strict_load": query(sg.landed("patient_admissions")),
     "seed_scan": query("SELECT * FROM doctors"),
     "date_spine": query(
@@ -177,3 +191,15 @@ FROM (SELECT {_name_case} AS file_name FROM orders) WHERE file_name LIKE '%.csv'
 FROM (SELECT * REPLACE ({m.parsed('claim_date')} AS claim_date, {m.parsed('settle_date')} AS settle_date, {m._labels('claim_status', m.CLAIM_STATUSES)} AS claim_status) FROM stream_claims)"""
     ),
 }
+
+# The same sources for the feeds that the queries above do not read.
+for _name, _run, _sql, _own in (
+    ("csv_feed_scan", feed_scan, _scan_sql, CLAIMS),
+    ("file_lineage_columns", lineage, _lineage_sql, CLAIMS),
+    ("feed_projection", projection, _projection_sql, TREATMENTS),
+    ("strict_load", strict, lambda feed: query(sg.landed(feed.name)), ADMISSIONS),
+):
+    for _feed in (ADMISSIONS, TREATMENTS, CLAIMS):
+        if _feed is not _own:
+            QUERIES[f"{_name}_{_feed.name}"] = partial(_run, feed=_feed)
+            ORACLE[f"{_name}_{_feed.name}"] = _sql(_feed)

@@ -41,6 +41,13 @@ def merge(spark, sf):
     return store.table("stg_claims")
 
 
+def upserted_fact(spark, sf, name, to_fact, key):
+    """A fact of earlier rows, upserted with the rows that differ today."""
+    before = table(spark, sf, f"fct_{name}_before")
+    changed = inc.incr_facts(before, table(spark, sf, f"stg_{name}"), to_fact, key)
+    return t.merge_upsert(before, written(changed, "changed-facts"), key)
+
+
 def schema_sync(spark, sf):
     """A stored table with a column the later rows lack, and without one they have."""
     store = TableStore(spark, scratch_path(spark, "claims-synced"))
@@ -232,16 +239,9 @@ QUERIES = {
         table(s, d, "stg_treatments_before"), table(s, d, "raw_treatments")
     ),
     "incr_claims": lambda s, d: inc.incr_claims(table(s, d, "stg_claims_before"), table(s, d, "raw_claims")),
-    "incr_facts": lambda s, d: t.merge_upsert(
-        table(s, d, "fct_admissions_before"),
-        written(
-            inc.incr_facts(
-                table(s, d, "fct_admissions_before"), table(s, d, "stg_admissions"), gold.fct_admissions, "admission_id"
-            ),
-            "changed-facts",
-        ),
-        "admission_id",
-    ),
+    "incr_facts": lambda s, d: upserted_fact(s, d, "admissions", gold.fct_admissions, "admission_id"),
+    "incr_facts_treatments": lambda s, d: upserted_fact(s, d, "treatments", gold.fct_treatments, "treatment_id"),
+    "incr_facts_claims": lambda s, d: upserted_fact(s, d, "claims", gold.fct_claims, "claim_id"),
     "scd2_snapshot_check": snapshot_two,
     "scd2_hard_deletes": lambda s, d: snapshot_two(s, d)
     .filter(F.col("valid_to").isNotNull())
@@ -314,6 +314,8 @@ UNION ALL SELECT 'fct_admissions', count(*) FROM fct_admissions UNION ALL SELECT
     "incr_treatments": m.table("stg_treatments", m.STG_TREATMENTS),
     "incr_claims": _claims,
     "incr_facts": m.table("fct_admissions", m.FCT_ADMISSIONS),
+    "incr_facts_treatments": m.table("fct_treatments", m.FCT_TREATMENTS),
+    "incr_facts_claims": m.table("fct_claims", m.FCT_CLAIMS),
     "scd2_snapshot_check": m.table("scd_doctors", m.SCD_DOCTORS),
     "scd2_hard_deletes": _deleted,
     "scd2_metadata": query(
