@@ -395,6 +395,24 @@ def test_near_copies_on_a_host_keep_what_they_share():
     assert [wrappers.extract(p, frozenset(template), slot) for p in pages] == [f"{_told(1, 9)}\n\nOnly {i}." for i in range(4)]
 
 
+def test_wrapper_counts_all_pages_of_a_host(spark):
+    """A line on 16 of 20 pages is no template, whichever pages of the host are looked at; one on all is."""
+    page = "<body><article>{}{}</article><p>All rights kept</p></body>"
+    rows, want = [], {}
+    for h in range(30):
+        for i in range(20):
+            line = "<p>Seen by most.</p>" if i < 16 else ""
+            rows.append((20 * h + i, f"http://h{h}.example/{i}", page.format(_story(20 * h + i, 4), line)))
+            want[20 * h + i] = _told(20 * h + i, 4) + ("\n\nSeen by most." if line else "")
+    pages = spark.createDataFrame(rows + rows[:300], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in wrappers.main_text(pages).collect()} == want
+    # Groups name the candidates, and joins find what one host's pages tell: 600 pages of one host.
+    one = pages.withColumn("url", F.lit("http://one.example/"))
+    found = wrappers.wrappers(one).collect()
+    assert [(r["template"], r["slot"]) for r in found] == [wrappers.induce([h for _, _, h in rows])]
+    assert len(found[0]["template"]) == 1
+
+
 def test_single_pages_are_read_by_their_own_marks():
     cases = {
         "<div class='story-form'><p>Told.</p></div>": "Told.",

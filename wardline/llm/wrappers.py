@@ -1,24 +1,26 @@
 """Main text of web pages by wrapper induction.
 
-For each host a bounded sample of different pages is parsed into DOM trees and aligned by simple tree
-matching. Aligned nodes whose text is the same on all sampled pages are the host's template; the rest
-varies. The content slot is the innermost single element that holds the varying text: from the root down,
-the child that holds four fifths of it, or half if the page marks it as article or main. Each page is read
-with its host's wrapper: blocks inside the slot, without template nodes, are the main text. Inside the
-slot template nodes go only where they are a small part of it, as pages that are near copies agree in most of it.
-Menus, forms and the like that tags or ARIA roles name are left out everywhere.
+Every page of a host is parsed into its DOM tree, and the trees of a host's different pages are laid over
+each other by the paths of their elements. Texts that ``TEMPLATE_SHARE`` of all pages hold at one path are the
+host's template; the rest varies. The content slot is the innermost single element that holds the varying
+text: from the root down, the child that holds four fifths of it, or half if the page marks it as article or
+main. Each page is read with its host's wrapper: blocks inside the slot, without template texts, are the main
+text. Inside the slot template texts go only where they are a small part of it, as pages that are near copies
+agree in most of it. Menus, forms and the like that tags or ARIA roles name are left out everywhere.
 
 A page without a slot (its host has too few pages, or another layout) is read by its own marks: the
 article or main element, else the whole. Parts whose class names call them menu, advert, notice and so on
 go, unless they hold half of the text.
 
-A wrapper is a few hundred numbers per sampled page of usual length; induction groups only the sample, never
-cuts a tree, and aligns lists of children whose product passes ``LONG_LISTS`` in order of their labels.
-Extraction reads each page once and whole, in time linear in its length; elements nested deeper than
-``DEEPEST`` count as text of the element at that depth.
+All counts are over all different pages, in time linear in their length, and Spark groups them: a page turns
+into hashes of its texts and paths, about a tenth of its size. Which texts reach the share is found in two
+exact passes: one that does so among all pages does so in one of any groups the pages are dealt into, so
+groups of ``GROUP`` pages name candidates, and only these are counted among all pages. The slot is found by
+joins over a host's paths; no task holds a host. Extraction reads each page once and whole; elements nested
+deeper than ``DEEPEST`` count as text of the element at that depth.
 
 Defined results: null and empty html give an empty text; a null or malformed url is a host of its own
-(empty); a host with fewer than ``least_pages`` different pages has an empty template; unclosed and stray
+(empty); a host with fewer than ``LEAST_PAGES`` different pages has an empty template; unclosed and stray
 tags are tolerated; rows that repeat are extracted each; further columns are ignored.
 """
 
@@ -26,12 +28,12 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.common import per_text, ship
@@ -43,7 +45,11 @@ OPAQUE_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in OPAQUE.split("|")}
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 TAG_STOP = re.compile(r"[>\"']")
 DEEPEST = 400
-LONG_LISTS = 250_000
+LEAST_PAGES = 3
+TEMPLATE_SHARE = 90  # percent of a host's different pages
+SLOT_SHARE, ARTICLE_SHARE = 0.8, 0.5  # of the varying text of the element around
+SMALL = 0.3  # template texts inside the slot go if they are at most this share of its text
+GROUP = 256
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -193,43 +199,6 @@ def clean(raw: str) -> str:
     return " ".join((entities.unescape(raw) if "&" in raw else raw).split())
 
 
-def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: the size of the largest top-down, order-preserving match, and its pairs."""
-    if a.label != b.label:
-        return 0, []
-    m, n = len(a.children), len(b.children)
-    if m * n > LONG_LISTS:
-        # The first and last children of a label meet those of the other side, as far as both have them.
-        pairs, size = [(a, b)], 1
-        own, other = ({}, {})
-        for held, node in ((own, a), (other, b)):
-            for child in node.children:
-                held.setdefault(child.label, []).append(child)
-        for label in own.keys() & other.keys():
-            x, y = own[label], other[label]
-            short = min(len(x), len(y))
-            for p, q in (*zip(x[: short // 2], y), *zip(x[len(x) - (short - short // 2) :], y[len(y) - (short - short // 2) :])):
-                inside, found = match(p, q)
-                size += inside
-                pairs += found
-        return size, pairs
-    inner = [[match(x, y) for y in b.children] for x in a.children]
-    best = np.zeros((m + 1, n + 1), "i4")
-    for i in range(1, m + 1):
-        for j in range(1, n + 1):
-            best[i, j] = max(best[i - 1, j], best[i, j - 1], best[i - 1, j - 1] + inner[i - 1][j - 1][0])
-    pairs, i, j = [(a, b)], m, n
-    while i and j:
-        if best[i, j] == best[i - 1, j]:
-            i -= 1
-        elif best[i, j] == best[i, j - 1]:
-            j -= 1
-        else:
-            pairs += inner[i - 1][j - 1][1]
-            i, j = i - 1, j - 1
-    return int(best[m, n]) + 1, pairs
-
-
 def mark(path: int, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\0{text}") - 2**63
 
@@ -240,61 +209,71 @@ def _ancestors(node: Node) -> Iterator[Node]:
         node = node.parent
 
 
-def induce(pages: list[str], least_pages: int = 3, small: float = 0.3) -> tuple[list[int], int | None]:
-    """The wrapper of some different pages of a host: template marks, path of the content slot.
+def digest(page: str) -> tuple[list[tuple], list[tuple]]:
+    """What a page tells about its host's wrapper.
 
-    Marks inside the slot are part of the template only if their text is at most the share ``small`` of it.
+    Its different texts (mark, path, characters; none in elements that are left out everywhere), and the
+    different paths that hold text (path, paths of the elements around it from the outermost to itself,
+    whether it may be a slot, is named as no content, is article, is there several times).
     """
-    if len(pages) < least_pages:
-        return [], None
-    parsed = [parse(p) for p in pages]
-    first = parsed[0][0]
-    aligned: dict[int, list[Node]] = {}
-    for other, _ in parsed[1:]:
-        for a, b in match(first, other)[1]:
-            aligned.setdefault(id(a), [a]).append(b)
-    template = set()
-    for nodes in aligned.values():
-        if len(nodes) == len(pages):
-            texts = [tuple(map(clean, n.text)) for n in nodes]
-            if texts[0] and len(set(texts)) == 1:
-                template.update(mark(nodes[0].path, t) for t in texts[0])
-    # Text that varies below each element; only elements that are alone with their path on each page.
-    below: dict[int, int] = {}
-    kinds: dict[int, Node] = {}
+    texts: dict[int, list] = {}
+    first: dict[int, Node] = {}
     several: set[int] = set()
-    for _, blocks in parsed:
-        seen: dict[int, int] = {}
-        for owner, raw in blocks:
-            t = clean(raw)
-            held = 0 if owner.dropped or mark(owner.path, t) in template else len(t)
-            for n in _ancestors(owner):
-                below[n.path] = below.get(n.path, 0) + held
-                kinds.setdefault(n.path, n)
-                if seen.setdefault(n.path, id(n)) != id(n):
-                    several.add(n.path)
-    alone = [n for p, n in kinds.items() if p not in several and n.tag not in PARAGRAPHS and n.tag not in INLINE]
-    slot, all_of = 0, sum(below[p] for p, n in kinds.items() if n.parent.path == 0)
-    while inside := [(below[n.path], not n.named, n.path) for n in alone if n.parent.path == slot]:
-        held, _, path = max(inside)
-        if not held or held < (0.5 if kinds[path].article else 0.8) * all_of:
+    article: set[int] = set()
+    for owner, raw in parse(page)[1]:
+        t = clean(raw)
+        held = texts.setdefault(mark(owner.path, t), [owner.path, 0])
+        held[1] += 0 if owner.dropped else len(t)
+        for n in _ancestors(owner):
+            if first.setdefault(n.path, n) is not n:
+                several.add(n.path)
+            if n.article:
+                article.add(n.path)
+    places = [
+        (p, [a.path for a in _ancestors(n)][::-1], n.tag not in PARAGRAPHS and n.tag not in INLINE, n.named, p in article, p in several)
+        for p, n in first.items()
+    ]
+    return [(m, p, n) for m, (p, n) in texts.items()], places
+
+
+def induce(pages: list[str]) -> tuple[list[int], int | None]:
+    """The wrapper of a host with these different pages: template marks, path of the content slot.
+
+    What ``wrappers`` finds by joins, for pages at hand.
+    """
+    if len(pages) < LEAST_PAGES:
+        return [], None
+    told = [digest(p) for p in pages]
+    seen = Counter(m for texts, _ in told for m, _, _ in texts)
+    template = {m for m, n in seen.items() if 100 * n >= TEMPLATE_SHARE * len(pages)}
+    constant, varying, kinds, inside = Counter(), Counter(), {}, {}
+    for texts, places in told:
+        for m, p, n in texts:
+            (constant if m in template else varying)[p] += n
+            inside.setdefault(p, set()).add(m)
+        for p, above, fits, named, article, several in places:
+            _, _, _, x, y = kinds.get(p, (0, 0, 0, False, False))
+            kinds[p] = above, fits, named, article or x, several or y
+    below = Counter()
+    for p, (above, *_) in kinds.items():
+        for a in above:
+            below[a] += varying[p]
+    slot, all_of = 0, sum(below[p] for p, k in kinds.items() if len(k[0]) == 1)
+    while children := [
+        (below[p], not named, p, article)
+        for p, (above, fits, named, article, several) in kinds.items()
+        if fits and not several and ([0] + above)[-2] == slot
+    ]:
+        held, _, path, article = max(children)
+        if not held or held < (ARTICLE_SHARE if article else SLOT_SHARE) * all_of:
             break
         slot, all_of = path, held
     if not slot:
         return [], None
-    constant = varying = 0
-    repeated = set()
-    for _, blocks in parsed:
-        for owner, raw in blocks:
-            if not owner.dropped and any(n.path == slot for n in _ancestors(owner)):
-                m = mark(owner.path, t := clean(raw))
-                if m in template:
-                    constant += len(t)
-                    repeated.add(m)
-                else:
-                    varying += len(t)
-    if constant > small * (constant + varying):
-        template -= repeated
+    within = [p for p, k in kinds.items() if slot in k[0]]
+    kept, lost = sum(constant[p] for p in within), sum(varying[p] for p in within)
+    if kept > SMALL * (kept + lost):
+        template -= set().union(*(inside.get(p, set()) for p in within))
     return sorted(template), slot
 
 
@@ -313,33 +292,103 @@ def extract(page: str | None, template: frozenset | set = frozenset(), slot: int
     return "\n\n".join(t for n, t in inside if mark(n.path, t) not in template)
 
 
-def host(url) -> F.Column:
+def host(url) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-def wrappers(pages: DataFrame, sample_pages: int = 6, seed: int = 3) -> DataFrame:
-    """(host, template, slot) from at most ``sample_pages`` different pages of each host."""
-    ship(pages.sparkSession)
-    order = Window.partitionBy("host").orderBy("_h")
-    # The smallest hashes per host, chosen from ids alone; then only those pages are read.
-    keyed = (
-        pages.filter(F.col("html").isNotNull() & (F.length("html") > 0))
-        .select(host(F.col("url")).alias("host"), F.xxhash64(F.lit(seed), "html").alias("_h"))
+_TEXTS = "texts array<struct<mark: long, path: long, n: long>>"
+_PLACES = "places array<struct<path: long, above: array<long>, fits: boolean, named: boolean, article: boolean, several: boolean>>"
+
+
+def digests(pages: DataFrame) -> DataFrame:
+    """(host, _h, texts, places): one row per host and different html, see ``digest``."""
+    rows = pages.filter(F.length("html") > 0).select(
+        host(F.col("url")).alias("host"), F.xxhash64("html").alias("_h"), F.col("html").alias("text")
     )
-    chosen = keyed.groupBy("host", "_h").agg(F.lit(1).alias("_one")).withColumn("_r", F.row_number().over(order)).filter(
-        F.col("_r") <= sample_pages
-    ).select("host", "_h")
-    rows = (
-        pages.select(host(F.col("url")).alias("host"), F.xxhash64(F.lit(seed), "html").alias("_h"), "html")
-        .join(F.broadcast(chosen) if chosen.limit(20_001).count() <= 20_000 else chosen, ["host", "_h"])
-        .groupBy("host", "_h").agg(F.first("html").alias("html"))
+    told = per_text(rows, ["host", "_h"], f"{_TEXTS}, {_PLACES}", lambda: lambda values: zip(*map(digest, values)))
+    return told.groupBy("host", "_h").agg(F.first("texts").alias("texts"), F.first("places").alias("places"))
+
+
+def template_texts(told: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(host, mark): texts that ``TEMPLATE_SHARE`` of a host's different pages hold.
+
+    A text with this share of all pages has it in at least one group of pages, so none is missed.
+    """
+    ship(told.sparkSession)
+    marks = told.select("host", "_h", F.col("texts.mark").alias("marks"))
+    groups = F.ceil(F.col("pages") / GROUP)
+    dealt = marks.join(hosts, "host").select("host", F.pmod(F.col("_h"), groups).alias("_group"), "marks")
+
+    def frequent(group: pd.DataFrame) -> pd.DataFrame:
+        seen = Counter(m for marks in group["marks"] for m in marks)
+        found = [m for m, n in seen.items() if 100 * n >= TEMPLATE_SHARE * len(group)]
+        return pd.DataFrame({"host": group["host"].iloc[0], "mark": pd.Series(found, dtype="int64")})
+
+    named = dealt.groupBy("host", "_group").applyInPandas(frequent, "host string, mark long").distinct()
+    counted = marks.select("host", F.explode("marks").alias("mark")).join(written(named, "candidates"), ["host", "mark"])
+    return (
+        counted.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("_n")).join(hosts, "host")
+        .filter(100 * F.col("_n") >= TEMPLATE_SHARE * F.col("pages")).select("host", "mark")
     )
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        template, slot = induce(group.sort_values("_h")["html"].tolist())
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "template": [template], "slot": pd.array([slot], "Int64")})
 
-    return rows.groupBy("host").applyInPandas(run, "host string, template array<long>, slot long")
+def slots(places: DataFrame) -> DataFrame:
+    """(host, slot) from ``places`` (host, path, above, fits, named, article, several, constant, varying)."""
+    below = places.select("host", F.explode("above").alias("path"), "varying").groupBy("host", "path").agg(F.sum("varying").alias("below"))
+    parent = F.coalesce(F.try_element_at("above", F.lit(-2)), F.lit(0).cast("long"))
+    nodes = written(places.withColumn("parent", parent).join(below, ["host", "path"]).drop("constant", "varying"), "paths")
+    root = nodes.filter("parent = 0").groupBy("host").agg(F.sum("below").alias("all_of")).withColumn("parent", F.lit(0).cast("long"))
+    around = nodes.select("host", F.col("path").alias("parent"), F.col("below").alias("all_of")).unionByName(root)
+    first = F.struct("below", (~F.col("named")).alias("unnamed"), "path", "article", "above")
+    steps = (
+        nodes.filter("fits and not several").groupBy("host", "parent").agg(F.max(first).alias("x")).join(around, ["host", "parent"])
+        .filter((F.col("x.below") > 0) & (F.col("x.below") >= F.when(F.col("x.article"), ARTICLE_SHARE).otherwise(SLOT_SHARE) * F.col("all_of")))
+        .select("host", "x.path", "x.above")
+    )
+    steps = written(steps, "steps")
+    # The way down reaches an element if it takes every step to it.
+    taken = steps.select("host", F.col("path").alias("_to"), F.explode("above").alias("path")).join(steps.select("host", "path"), ["host", "path"])
+    depth = taken.groupBy("host", F.col("_to").alias("path")).agg(F.count(F.lit(1)).alias("_taken"))
+    reached = steps.join(depth, ["host", "path"]).filter(F.col("_taken") == F.size("above"))
+    return reached.groupBy("host").agg(F.max_by("path", "_taken").alias("slot"))
+
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """(host, template, slot) of each host with a slot, from all its different pages."""
+    told = written(digests(pages), "digests")
+    hosts = written(told.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= LEAST_PAGES), "hosts")
+    template = written(template_texts(told, hosts).withColumn("_template", F.lit(True)), "template")
+
+    texts = told.join(hosts, "host", "left_semi").select("host", F.explode("texts").alias("t")).select("host", "t.*")
+    sums = (
+        texts.join(template, ["host", "mark"], "left").groupBy("host", "path").agg(
+            F.sum(F.when(F.col("_template"), F.col("n")).otherwise(0)).alias("constant"),
+            F.sum(F.when(F.col("_template"), 0).otherwise(F.col("n"))).alias("varying"),
+            F.collect_set(F.when(F.col("_template"), F.col("mark"))).alias("marks"),
+        )
+    )
+    kinds = (
+        told.join(hosts, "host", "left_semi").select("host", F.explode("places").alias("p")).select("host", "p.*").groupBy("host", "path").agg(
+            F.first("above").alias("above"), *[F.bool_or(c).alias(c) for c in ("fits", "named", "article", "several")]
+        )
+    )
+    zero = F.lit(0).cast("long")
+    laid = written(
+        kinds.join(sums, ["host", "path"], "full").withColumns(
+            {"constant": F.coalesce("constant", zero), "varying": F.coalesce("varying", zero), "above": F.coalesce("above", F.array().cast("array<long>"))}
+        ),
+        "layouts",
+    )
+    found = slots(laid.filter(F.size("above") > 0).drop("marks"))
+    within = F.array_contains("above", F.col("slot"))
+    inside = lambda c: F.sum(F.when(within, F.col(c)).otherwise(0))
+    small = laid.join(found, "host").groupBy("host", "slot").agg((inside("constant") <= SMALL * (inside("constant") + inside("varying"))).alias("small"))
+    small = written(small, "slots")
+    marks = (
+        laid.filter(F.size("marks") > 0).join(small, "host").filter(F.col("small") | ~within)
+        .groupBy("host").agg(F.array_sort(F.flatten(F.collect_list("marks"))).alias("template"))
+    )
+    return small.select("host", "slot").join(marks, "host", "left")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
