@@ -104,6 +104,25 @@ def test_dedup_is_limited_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange") == 1
 
 
+def test_dedup_sorts_no_whole_split_before_the_shuffle(spark):
+    """Rows of usual keys meet their sort behind the shuffle; a large key, or NULL, is still cut down before it."""
+    n = 40 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    usual = spark.range(n).select(F.floor(F.col("id") / 2).alias("k"), F.col("id").alias("load_dttm"), F.col("id").alias("x"))
+    plan = dedup_latest(usual, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert {(r["k"], r["x"]) for r in dedup_latest(usual, "k").collect()} == {(i, 2 * i + 1) for i in range(n // 2)}
+
+    hot = F.when(F.col("x") % 3 == 0, -1).when(F.col("x") % 3 == 1, F.col("k"))
+    mixed = usual.withColumn("k", hot.cast("long")).withColumn("load_dttm", F.lit(None).cast("long"))
+    done = dedup_latest(mixed, "k")
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "NestedLoop" not in plan
+    want = {}
+    for x in range(n):
+        want[-1 if x % 3 == 0 else x // 2 if x % 3 == 1 else None] = x
+    assert sorted((r["k"] is not None, r["k"] or 0, r["x"]) for r in done.collect()) == sorted((k is not None, k or 0, x) for k, x in want.items())
+
+
 def test_dedup_twice_changes_nothing(spark, sf):
     from wardline.registry import adapters as a
 
