@@ -97,6 +97,23 @@ def test_treatments_step_equals_rebuild(spark, seed):
     assert same_rows(silver.stg_treatments(landed, samples=1), full)
 
 
+def test_treatments_table_meets_the_rewritten_keys_once(spark):
+    """Procedures and admissions without a new row stay as stored; the marking pass alone tells them apart."""
+    rows = [(i, i % 40, "D1", f"P{i % 8}", "2024-01-02", f"{i}.50", "S", "f0", 0, 0) for i in range(400)]
+    rows += [(i, 1000 + i, "D2", "P3", "2024-02-02", "7.25", "F", "f1", 1, 1) for i in (3, 5, 900, 901)]
+    names = TREATMENTS.landing_schema.names
+    df = spark.createDataFrame(rows, "treatment_id long, admission_id long, doctor_id string, procedure_code string, treatment_date string, "
+                               "cost string, outcome string, file_name string, upload_dttm int, load_dttm int")
+    stamp = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz").alias(c)
+    landed = written(df.withColumn("cost", F.col("cost").cast("decimal(12,2)")).select(*names[:-2], *map(stamp, names[-2:])), "landed")
+    target = written(silver.stg_treatments(landed.filter("file_name = 'f0'")), "target")
+    done = inc.incr_treatments(target, landed)
+    assert same_rows(done, silver.stg_treatments(landed))
+    stays = F.col("procedure_code").isin("P1", "P2") & ~F.col("admission_id").isin(3, 5)
+    assert same_rows(done.filter(stays), target.filter(stays))
+    assert "LeftAnti" not in done._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_fact_follows_neighbours_that_changed(spark):
     landed = landed_admissions(spark, 2, 9)
     old = written(silver.stg_admissions(landed.filter("file_name = 'f0.csv'"), as_of()), "old")
