@@ -1,6 +1,7 @@
 """One defect per CSV file, through the whole gate."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from wardline.feeds import ADMISSIONS, CLAIMS, TREATMENTS, GateLimits
 from wardline.operators import checks as c
 from wardline.plans import ingest
-from wardline.session import scratch_path
+from wardline.registry import gate_files, q_gate
+from wardline.session import scratch_path, written
 from wardline.sinks import bronze
 from wardline.sources import files
 
@@ -263,3 +265,55 @@ def test_cells(spark, folder):
     got = [r["cells"] for r in staged.filter("not ragged").collect()]
     assert sorted(got, key=str) == sorted([["a", "x,y", None, None, 'q"z'], [None, "b", None, None, None], ["a", "b", "c", "d", "e"]], key=str)
     assert staged.filter("ragged").count() == 1
+
+
+@pytest.fixture()
+def few_orders(spark, tmp_path):
+    """A folder of its own with orders of 1995, 1998, 2000 (repeated rows) and a missing day."""
+    rows = [
+        (k, k % 5, "FOP"[k % 3], 10.5 + k, None if k == 30 else dt.datetime((1995, 1998, 2000)[k % 3], 1 + k % 12, 7), "1-URGENT")
+        for k in range(1, 41)
+    ]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "orders.parquet"))
+    return str(tmp_path)
+
+
+@pytest.fixture()
+def purposes(monkeypatch):
+    """What ``sources.files`` writes, in order."""
+    seen, real = [], files.written
+    monkeypatch.setattr(files, "written", lambda df, purpose, *by: seen.append(purpose) or real(df, purpose, *by))
+    return seen
+
+
+def test_files_hold_the_derived_lines_without_a_table_of_them(spark, few_orders):
+    place = gate_files.incoming(spark, few_orders)
+    assert not any(sf == few_orders for _, sf in gate_files._tables)
+    want = {}
+    for r in gate_files.derived_lines(spark, few_orders).orderBy("file_name", "line_no").collect():
+        want.setdefault(r["file_name"], []).append(r["line"])
+    found = {f.name: f.read_text().splitlines() for f in Path(place.removeprefix("file:")).iterdir() if f.suffix == ".csv"}
+    assert found == want | {"insurance_claims_1998_0.csv": []}
+
+
+def test_header_checks_leave_the_rows_in_the_files(spark, few_orders, purposes):
+    checked = q_gate.QUERIES["chk_required_columns"](spark, few_orders).collect()
+    assert len(checked) == len(set(r["file_name"] for r in checked)) > 0
+    assert "staged" not in purposes
+
+
+def test_a_run_summary_reads_the_files_once(spark, few_orders, purposes):
+    summary = q_gate.QUERIES["gate_run_summary"](spark, few_orders).first()
+    assert summary["files_seen"] > 0 and purposes == ["heads", "headers", "staged"]
+
+
+def test_heads_and_staged_rows_are_not_sorted(spark, few_orders, monkeypatch):
+    lines = files.read_lines(spark, gate_files.incoming(spark, few_orders))
+    heads = files.file_heads(lines)
+    plan = heads._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+    partitioned = []
+    monkeypatch.setattr(files, "written", lambda df, purpose, *by: partitioned.extend(by) or written(df, purpose, *by))
+    _, staged = files.read_files(lines)
+    assert not partitioned and staged.filter("feed <> file_name and not startswith(file_name, feed)").isEmpty()

@@ -279,13 +279,13 @@ SCALARS = {
     .groupBy("stamp", "run_id_length")
     .agg(F.count(F.lit(1)).alias("n")),
     "regex_extract_rules": lambda s, d: task_lines(s, d).select("line_no", F.inline(lognotes.line_hits(C("line")))),
-    "list_ops": lambda s, d: g.read_folder(s, d)[0].select(
+    "list_ops": lambda s, d: g.read_folder(s, d, False)[0].select(
         "file_name",
         F.array_contains("header", "patient_id").alias("has_patient"),
         F.array_join(F.array_except(checks.per_feed(lambda f: F.array(*[F.lit(c) for c in f.columns])), C("header")), ",").alias("missing"),
         F.array_join(F.slice(F.array_distinct(F.concat(C("header"), C("header"))), 1, 5), ",").alias("first_five"),
     ),
-    "limit_one": lambda s, d: g.read_folder(s, d)[0].select("file_name", F.get("header", F.lit(0)).alias("first_name")),
+    "limit_one": lambda s, d: g.read_folder(s, d, False)[0].select("file_name", F.get("header", F.lit(0)).alias("first_name")),
     "first_k_unique": lambda s, d: lognotes.root_causes(task_lines(s, d), "task_id"),
     "ordered_window_sort": lambda s, d: visits(s, d).filter(C("patient_visit_seq") == C("patient_total_visits")).select("patient_id", "admission_id", "admit_date"),
     "union_all_versions": lambda s, d: q_union(s, d),
