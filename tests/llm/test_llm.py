@@ -16,8 +16,8 @@ from oracle import compare, duck
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, mixing, neardup, queries, toxicity, wrappers
-from wardline.llm.common import table, words
+from wardline.llm import chat, mixing, neardup, packing, queries, toxicity, wrappers
+from wardline.llm.common import sole_cache, table, words
 
 SCHEMAS = {
     "documents": pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()),
@@ -435,3 +435,16 @@ def test_hostile_pages_take_linear_time(piece):
     start = time.process_time()
     wrappers.extract(page)
     assert time.process_time() - start < 20
+
+
+def test_another_operator_drops_the_vocabulary_of_packing():
+    kept = packing._encoders.copy()
+    packing._encoders["here"] = packing.Encoder(queries.vocabulary_path())
+    try:
+        sole_cache(packing._encoders)
+        assert "here" in packing._encoders
+        sole_cache()
+        assert not packing._encoders
+    finally:
+        packing._encoders.clear()
+        packing._encoders.update(kept)

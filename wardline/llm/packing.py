@@ -80,10 +80,10 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, with_ids: boo
     fields = "piece:int,start:long,length:long,ids_crc32:long" + (",ids:binary" if with_ids else "")
 
     def start():
+        sole_cache(_encoders)  # another operator drops the vocabulary with the words
         if vocabulary not in _encoders:
             _encoders[vocabulary] = Encoder(vocabulary)
         encoder = _encoders[vocabulary]
-        sole_cache(encoder.known)
 
         def compute(texts):
             out = []
