@@ -17,7 +17,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from wardline.llm import chat, mixing, neardup, packing, queries, toxicity, wrappers
-from wardline.llm.common import sole_cache, table, words
+from wardline.llm.common import likely_among, sole_cache, table, words
 
 SCHEMAS = {
     "documents": pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()),
@@ -448,3 +448,32 @@ def test_another_operator_drops_the_vocabulary_of_packing():
     finally:
         packing._encoders.clear()
         packing._encoders.update(kept)
+
+
+def test_a_pair_meets_in_one_table_and_texts_stay_in_place(spark, capsys):
+    """Classes that share many tables are compared once, and rows of wanted keys are found without a shuffle."""
+    bands, none = 12, [f"0L AS {b}" for b in neardup.MAP]
+    of = lambda *a: [100 * i + x for i, x in enumerate(a)]  # noqa: E731  as hashes do, sub-keys at different places differ
+    one, three, four = [(of(*[a] * 3, *[b] * 9), of(c, *[d] * 11)) for a, b, c, d in ((7, 7, 8, 8), (5, 7, 6, 8), (5, 1, 6, 2))]
+    keys = {1: one, 2: one, 3: three, 4: four}
+    made = [
+        (f"{i},{j},{left[i]},{right[j]}", i, j, k, left, right)
+        for k, (left, right) in keys.items() for i in range(bands) for j in range(bands)
+    ]
+    rows = spark.createDataFrame(made, "at string, i int, j int, id long, left array<long>, right array<long>")
+    tables = rows.withColumn("bucket", F.xxhash64("at"))
+    described = rows.select("id", "left", "right").distinct().selectExpr("*", "100 AS n", *none)
+    components = spark.createDataFrame([(k, k) for k in keys], "id long, component long")
+    alone = lambda rows: sorted((r["a"], r["b"]) for r in rows.collect())
+    want = [(1, 2), (1, 3), (2, 3), (3, 4)]
+    assert alone(neardup.meeting(tables.join(components, "id").drop("left", "right").join(described, "id"), 80)) == want
+    mixed = neardup.mixed_tables(tables, components)
+    assert mixed.select("bucket").distinct().count() < 10
+    assert alone(neardup.meeting(mixed.join(described, "id"), 80)) == want
+
+    docs = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), F.lit("x").alias("text"))
+    found = likely_among(docs, "doc_id", spark.createDataFrame([(5,), (2999,), (-1,)], "rep long"))
+    found.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    assert [r["doc_id"] for r in found.orderBy("doc_id").collect()] == [5, 2999]
+    assert {5, 2999} <= {r["doc_id"] for r in likely_among(docs, "doc_id", spark.createDataFrame([(5,), (2999,)], "rep long"), 70).collect()}

@@ -12,7 +12,8 @@ others, only shared sub-keys form table keys. Links are confirmed on full shingl
    share: of a group of near copies that is one with few changes, alike to most others. Confirmed
    links make components;
 2. in each table that still holds several components, members of different components are checked, so
-   that no link is lost to the choice of hubs. Members of one component are never paired.
+   that no link is lost to the choice of hubs. Members of one component are never paired, tables with the
+   same members count once, and a pair meets in the first table that it shares only.
 A pair is checked only if sizes and bit maps allow the threshold. A map of 512 bits holds the parity of the
 shingles that fall on each bit; maps differ in at most as many bits as sets differ in shingles, so for sets of
 up to 512 shingles this excludes no link. Larger sets map a fraction of their shingles, chosen by hash, and
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import partitions, per_text, remove_written, sole_cache, words
+from wardline.llm.common import likely_among, partitions, per_text, remove_written, sole_cache, words
 from wardline.session import written
 
 CACHE_WORDS = 500_000
@@ -224,19 +225,38 @@ def hub_pairs(tables: DataFrame, described: DataFrame, percent: int) -> DataFram
     return pairs.join(x, F.col("a") == F.col("x.id")).join(y, (F.col("b") == F.col("y.id")) & allowed("x", "y", percent)).select("a", "b")
 
 
+def mixed_tables(tables: DataFrame, components: DataFrame) -> DataFrame:
+    """(bucket, i, j, id, component) of tables that hold several components; of tables with the same
+    members only the first by sub-keys (i, j)."""
+    placed = tables.select("bucket", "i", "j", "id").join(components, "id")
+    own = F.xxhash64("id")
+    groups = placed.groupBy("bucket").agg(
+        F.min("component").alias("p"), F.max("component").alias("q"), F.min(F.col("i") * 64 + F.col("j")).alias("at"),
+        F.count(F.lit(1)).alias("n"), F.bit_xor("id").alias("x"), F.bit_xor(own).alias("y"), F.min(own).alias("z"),
+    ).filter("p != q")
+    kept = groups.groupBy("n", "x", "y", "z").agg(F.min_by("bucket", "at").alias("bucket")).select("bucket")
+    return placed.join(kept, "bucket")
+
+
+def meeting(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of mixed tables' rows that the threshold allows, each in the first table it shares only.
+
+    A pair shares a table for each left and each right sub-key it has in common; the first is that of
+    the least i and the least j. Sub-keys at different places come from different hash functions.
+    """
+    x, y = mixed.alias("x"), mixed.alias("y")
+    met = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & allowed("x", "y", percent)
+    for at, side in (("i", "left"), ("j", "right")):
+        earlier = F.slice(f"x.{side}", F.lit(1), F.col(f"x.{at}"))
+        met &= ~F.arrays_overlap(earlier, f"y.{side}")
+    return x.join(y, met).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+
 def across_components(tables: DataFrame, components: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     """Pairs (a < b) that share a table, lie in different components, and whose sizes and bit maps
-    allow the threshold."""
-    placed = tables.select("bucket", "id").join(components, "id")
-    groups = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p != q")
-    mixed = written(placed.join(groups.select("bucket"), "bucket").join(described, "id"), "dup-mixed")
-    x, y = mixed.alias("x"), mixed.alias("y")
-    met = x.join(
-        y,
-        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & allowed("x", "y", percent),
-    )
-    pairs = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    pairs = written(pairs, "dup-across")
+    allow the threshold. described: id, n, bit map and all sub-keys (left, right)."""
+    mixed = written(mixed_tables(tables, components).join(described, "id"), "dup-mixed")
+    pairs = written(meeting(mixed, percent).distinct(), "dup-across")
     remove_written(mixed)
     return pairs
 
@@ -285,23 +305,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     )
     tables = written(
         alive.select("id", "weight", F.explode("l").alias("x"), "r").select("id", "weight", "x", F.explode("r").alias("y"))
-        .select("id", "weight", F.xxhash64("x", "y").alias("bucket")),
+        .select("id", "weight", F.xxhash64("x", "y").alias("bucket"), F.col("x.i").alias("i"), (F.col("y.i") - bands).alias("j")),
         "dup-tables",
     )
     nodes = written(tables.select("id").distinct(), "dup-nodes")
     reps = classes.select("id", "copy", "rep").join(nodes, "id")
     full = per_text(
-        source.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), ["doc_id"],
+        likely_among(source, "doc_id", reps.select("rep")), ["doc_id"],
         f"copy array<long>, shingles binary, n int, {', '.join(f'{c} long' for c in MAP)}",
         lambda: lambda texts: zip(*(_full_set(t, k) for t in texts)),
     )
-    # By copy, not by id: an id's other text is another class.
+    # By copy, not by id: an id's other text is another class, and some other ids come along.
     sets = written(full.drop("doc_id").dropDuplicates(["copy"]).join(reps.select("copy", "id"), "copy").drop("copy"), "dup-sets")
     described = sets.select("id", "n", *MAP)
     first = written(hub_pairs(tables, described, percent), "dup-first")
     alone = nodes.select("id", F.col("id").alias("component"))
     components = connected(nodes, confirmed(first, sets, alone, percent))
-    rest = across_components(tables, components, described, percent).join(first, ["a", "b"], "left_anti")
+    keyed = described.join(classes.select("id", "left", "right"), "id")
+    rest = across_components(tables, components, keyed, percent).join(first, ["a", "b"], "left_anti")
     components = merged(components, confirmed(written(rest, "dup-rest"), sets, components, percent))
     remove_written(sets, tables)
     grouped = classes.select("copy", "rep", "id").join(components, "id", "left").select(
