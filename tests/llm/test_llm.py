@@ -450,6 +450,24 @@ def test_another_operator_drops_the_vocabulary_of_packing():
         packing._encoders.update(kept)
 
 
+def test_words_take_the_short_way_to_the_same_ids(monkeypatch):
+    """Plain words go straight to the merges, without a pass of the tokenizer for each new word; ids are the same."""
+    encoder = packing.Encoder(queries.vocabulary_path())
+    letters = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x180), 0x301, 0x3A3, 0x130, 0x212A, 0x1E9E, 0x4E2D, 0x1F600)]
+    rng = np.random.default_rng(4)
+    made = ["".join(rng.choice(letters, rng.integers(1, 12))) for _ in range(4000)]
+    made += [a + b + a for a in letters for b in ("", "z", "'", "7", "..")] + ["it's", "<|endoftext|>", "A<|ENDOFTEXT|>b", "x<|y", "don't.Stop,"]
+    text = " ".join(made)
+    for given in (text, text.replace("<|", "")):
+        want = encoder.tokenizer.encode(given, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(given), "<u4").tolist() == [*want, 0]
+    whole = []
+    monkeypatch.setattr(encoder, "_whole", lambda text: whole.append(text) or [])
+    encoder.clear()
+    encoder.encode("Unbekannte W\xf6rter, hareing.&&& 1234 na\xefve")
+    assert not whole
+
+
 def test_a_pair_meets_in_one_table_and_texts_stay_in_place(spark, capsys):
     """Classes that share many tables are compared once, and rows of wanted keys are found without a shuffle."""
     bands, none = 12, [f"0L AS {b}" for b in neardup.MAP]

@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import struct
 import zlib
 from collections import defaultdict
 
@@ -32,7 +33,7 @@ from wardline.session import written
 
 CACHE_WORDS = 600_000
 END = b"\0\0\0\0"
-_MARK = re.compile(rb"(?<=[a-z0-9])([,.])(?=[ \n])")
+_MARK = re.compile(rb"([,.])(?=[ \n])(?<=[a-z0-9].)")  # begins with the mark, which is found fastest
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -46,11 +47,26 @@ def _words(text: str) -> list[bytes]:
     return raw.split() if b"<|" in raw else _MARK.sub(rb" \1 ", raw.lower()).split()
 
 
-class Encoder:
-    """Ids of whole texts; a task's worker keeps those of recent words.
+def _spelling() -> dict[int, str]:
+    """The vocabulary's spelling of the Latin letters: a character for each byte of their UTF-8."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    of = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+    return {c: "".join(of.get(b, chr(b)) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+# Words of these characters only: composed already, and their parts are what the vocabulary's pattern cuts
+# (the apostrophe, which begins parts of its own, is not among them).
+_PLAIN = re.compile("[\x21-\x26\x28-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+_PART = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+_SPELLING = _spelling()
+
+
+class Encoder(dict):
+    """Ids of whole texts; a task's worker keeps those of recent words (word -> little-endian ids).
 
     The vocabulary's pattern never crosses white space and its normaliser joins nothing across it, so
-    a text's ids are its words' ids one after the other.
+    a text's ids are its words' ids one after the other. A word of plain Latin letters, digits and marks
+    goes straight to the vocabulary's merges, part by part; any other takes the whole way.
     """
 
     def __init__(self, path: str):
@@ -59,20 +75,34 @@ class Encoder:
         # Tasks run side by side already; threads of each worker only add memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, with the end id."""
-        cut = [_words(t) if t else [] for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known = self.known
-        new = list({w for ws in cut for w in ws}.difference(known))
-        for at in range(0, len(new), 2000):
-            part = new[at : at + 2000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in ws]) + END for ws in cut]
+        self.merges = self.tokenizer.model
+        # A vocabulary with other rules takes the whole way for every word.
+        self.direct = all(self._merged(w) == self._whole(w) for w in ("the", "Stra\xdfe", "\xc0\xff", "a12.&&&\xe9"))
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _merged(self, text: str) -> list[int]:
+        text, merged = text.lower(), self.merges.tokenize
+        parts = [text] if text.isalpha() else _PART.findall(text)
+        return [t.id for x in parts for t in merged(x if x.isascii() else x.translate(_SPELLING))]
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if self.direct and word.isalpha() and word.islower():
+            ids = [t.id for t in self.merges.tokenize(text)]
+        elif self.direct and "<|" not in text and _PLAIN.fullmatch(text):
+            ids = self._merged(text)
+        else:
+            ids = self._whole(text)
+        self[word] = out = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+    def encode(self, text: str | None) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text, with the end id."""
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        return b"".join(map(self.__getitem__, _words(text) if text else ())) + END
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, with_ids: bool = False) -> DataFrame:
@@ -87,7 +117,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, with_ids: boo
 
         def compute(texts):
             out = []
-            for ids in (i for at in range(0, len(texts), 100) for i in encoder.encode(texts[at : at + 100])):
+            for ids in map(encoder.encode, texts):
                 cuts = [ids[a : a + 4 * capacity] for a in range(0, len(ids), 4 * capacity)]
                 out.append([
                     {"piece": i, "start": i * capacity, "length": len(c) // 4, "ids_crc32": zlib.crc32(c)}
