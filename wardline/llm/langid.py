@@ -33,6 +33,7 @@ from wardline.llm.common import per_text, sole_cache
 LETTER = regex.compile(r"\p{L}")
 SIDE = regex.compile(r"^[^\p{L}\p{M}]+|[^\p{L}\p{M}]+$")
 CACHE_WORDS = 300_000  # words whose log-probabilities a task keeps at a time
+PART_WORDS = 5_000  # words that are looked up together
 LONG_WORD = 64  # longer runs are scored piece by piece and not kept
 MIXTURE = 0.01  # least variance of a language: texts quote other languages, names and markup
 
@@ -168,8 +169,8 @@ class Scorer:
         rows[:, -1] = [LETTER.search(w) is not None for w in words]
         if flat:
             owner = np.repeat(np.arange(len(new)), [len(ps) for ps in pieces])
-            for at in range(0, len(flat), 50_000):
-                part, own = flat[at : at + 50_000], owner[at : at + 50_000]
+            for at in range(0, len(flat), PART_WORDS):
+                part, own = flat[at : at + PART_WORDS], owner[at : at + PART_WORDS]
                 np.add.at(rows[:, :-2], own, self.model.log_probabilities(part))
                 np.add.at(rows[:, -2], own, np.fromiter((len(p) + 1 for p in part), "f8", len(part)))
         self.rows = np.concatenate([self.rows, rows])
