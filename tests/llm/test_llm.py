@@ -16,7 +16,7 @@ from oracle import compare, duck
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, mixing, neardup, packing, queries, toxicity, wrappers
+from wardline.llm import backoff, chat, mixing, neardup, packing, queries, toxicity, wrappers
 from wardline.llm.common import likely_among, sole_cache, table, words
 
 SCHEMAS = {
@@ -495,3 +495,20 @@ def test_a_pair_meets_in_one_table_and_texts_stay_in_place(spark, capsys):
     assert "Exchange" not in capsys.readouterr().out
     assert [r["doc_id"] for r in found.orderBy("doc_id").collect()] == [5, 2999]
     assert {5, 2999} <= {r["doc_id"] for r in likely_among(docs, "doc_id", spark.createDataFrame([(5,), (2999,)], "rep long"), 70).collect()}
+
+
+def test_backoff_memory():
+    """An automaton keeps one dictionary of arcs and plain numbers, not an object for each number."""
+    import tracemalloc
+
+    n = 50_000
+    tokens = np.random.default_rng(3).integers(0, 20_000, n).astype("<i4")
+    vocab = np.random.default_rng(4).integers(0, 2**63, 20_000, "u8")
+    row = {"tokens": backoff._pack(tokens), "vocab": vocab.tobytes(), "ends": list(range(100, n + 1, 100))}
+    grams = backoff.Grams(row, 2)
+    totals = [np.bincount(inverse, minlength=len(keys)) for keys, _, inverse in grams.levels]
+    tracemalloc.start()
+    automaton = backoff.Automaton(grams, totals, 500, n, 20_000, 3.0, 0.8)
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 160 * len(automaton.arcs), kept / len(automaton.arcs)

@@ -22,21 +22,27 @@ scores; further columns are ignored.
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from wardline.llm.common import partitions, ship, words
+from wardline.llm.common import partitions, return_memory, ship, words
 from wardline.session import written
 
 END, BOS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 BLOCK = "block_id long, doc_ids array<long>, training array<boolean>, ends array<int>, tokens binary, vocab binary, entries long"
+COUNTS = "block_id long, range int, level int, keys binary, counts binary"
 SCORES = "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+TEXTS = 200  # texts of a batch that are made Python objects at a time
 
 
 def _mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -48,7 +54,9 @@ def _mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _cut(block_tokens: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = to_arrow_schema(StructType.fromDDL(BLOCK))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, serial = TaskContext.get().partitionId(), 0
@@ -70,23 +78,26 @@ def _cut(block_tokens: int):
                 "vocab": vocab.tobytes(), "entries": hold["n"],
             }
             fresh()
-            return pd.DataFrame([row])
+            return pa.RecordBatch.from_pylist([row], schema)
 
         fresh()
         for batch in batches:
-            for doc_id, text, training in zip(batch["doc_id"], batch["text"], batch["training"]):
-                # The end mark is the reserved number -1 until the block is read.
-                ids = list(map(numbers.__getitem__, words(text)))
-                ids.append(-1)
-                hold["doc_ids"].append(None if pd.isna(doc_id) else int(doc_id))
-                hold["training"].append(bool(training))
-                hold["n"] += len(ids)
-                hold["ends"].append(hold["n"])
-                hold["tokens"].append(np.array(ids, "<i4"))
-                if hold["n"] >= block_tokens:
-                    yield block()
+            for at in range(0, batch.num_rows, TEXTS):
+                for row in batch.slice(at, TEXTS).to_pylist():
+                    # The end mark is the reserved number -1 until the block is read.
+                    ids = list(map(numbers.__getitem__, words(row["text"])))
+                    ids.append(-1)
+                    hold["doc_ids"].append(row["doc_id"])
+                    hold["training"].append(row["training"])
+                    hold["n"] += len(ids)
+                    hold["ends"].append(hold["n"])
+                    hold["tokens"].append(np.array(ids, "<i4"))
+                    if hold["n"] >= block_tokens:
+                        yield block()
         if hold["n"]:
             yield block()
+        batch = row = ids = numbers = hold = None
+        return_memory()
 
     return run
 
@@ -137,33 +148,47 @@ def _slices(keys: np.ndarray, ranges: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(keys, edges), len(keys)]
 
 
+def _counted(row: dict, order: int, ranges: int) -> list[dict]:
+    """A block's own counts, a row for each hash range and level."""
+    g = Grams(row, order)
+    training = np.repeat(np.array(row["training"], bool), np.diff(np.r_[0, g.ends]))
+    out = []
+    for m, (keys, _, inverse) in enumerate(g.levels, 1):
+        counts = np.bincount(inverse, training, len(keys)).astype("<u4")
+        cut = _slices(keys, ranges)
+        out += [
+            {"block_id": row["block_id"], "range": r, "level": m, "keys": _pack(keys[a:b]), "counts": _pack(counts[a:b])}
+            for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a
+        ]
+    return out
+
+
 def _count(order: int, ranges: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = to_arrow_schema(StructType.fromDDL(COUNTS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_dict("records"):
-                g = Grams(row, order)
-                training = np.repeat(np.array(row["training"], bool), np.diff(np.r_[0, g.ends]))
-                out = []
-                for m, (keys, _, inverse) in enumerate(g.levels, 1):
-                    counts = np.bincount(inverse, training, len(keys)).astype("<u4")
-                    cut = _slices(keys, ranges)
-                    out += [
-                        (row["block_id"], r, m, _pack(keys[a:b]), _pack(counts[a:b]))
-                        for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a
-                    ]
-                yield pd.DataFrame(out, columns=["block_id", "range", "level", "keys", "counts"])
+            # One block at a time: a batch has all blocks of the task.
+            for at in range(batch.num_rows):
+                out = _counted(batch.slice(at, 1).to_pylist()[0], order, ranges)
+                yield pa.RecordBatch.from_pylist(out, schema)
+                out = None
+                return_memory()
 
     return run
 
 
 def _merge(piece: pd.DataFrame) -> pd.DataFrame:
     """Sum one range's counts over all blocks; answer each block in the order of its keys."""
+    return_memory()  # what the group before has left
     lengths = np.array([len(k) // 8 for k in piece["keys"]])
     keys = np.concatenate([_unpack(k, "u8") for k in piece["keys"]])
-    counts = np.concatenate([_unpack(c, "<u4") for c in piece["counts"]])
     _, inverse = np.unique(keys, return_inverse=True)
+    del keys
+    counts = np.concatenate([_unpack(c, "<u4") for c in piece["counts"]])
     sums = np.bincount(inverse, counts)
     totals = sums[inverse].astype("<u8")
+    del inverse, counts
     level = int(piece["level"].iloc[0])
     # Size and number of distinct unigrams, once per range: on its first row.
     n = np.zeros((2, len(piece)), "i8")
@@ -178,6 +203,11 @@ def _merge(piece: pd.DataFrame) -> pd.DataFrame:
     })
 
 
+def _numbers(code: str, values: np.ndarray) -> array:
+    """Plain numbers that the traversal reads one by one; a list has an object for each."""
+    return array(code, values.astype(code).tobytes())
+
+
 class Automaton:
     """States, arcs and failure arcs for the n-grams that a block's texts touch."""
 
@@ -210,7 +240,8 @@ class Automaton:
                 fail_weight.append(np.log10(prior / (texts + prior)))
                 base += 1
         self.start = begins[-1]
-        self.fail, self.fail_weight = fail, fail_weight
+        self.fail, self.fail_weight = array("q", fail), array("d", fail_weight)
+        del fail, fail_weight
         arcs, weights, targets = [], [], []
         for m in range(1, order + 1):
             keys, first, inv = g.levels[m - 1]
@@ -232,9 +263,10 @@ class Automaton:
             weights.append(np.log10(prob[m - 1][known]))
             # An arc leads to the longest seen suffix that can still be a context.
             targets.append(state_of[min(m, order - 1)][known] if order > 1 else np.zeros(len(known), "i8"))
-        self.arcs = dict(zip(np.concatenate(arcs).tolist(), range(sum(map(len, arcs)))))
-        self.weights, self.targets = np.concatenate(weights).tolist(), np.concatenate(targets).tolist()
         self.seen = seen[0]
+        self.weights, self.targets = _numbers("d", np.concatenate(weights)), _numbers("q", np.concatenate(targets))
+        del seen, prob, state_of, weights, targets  # not kept beside the arcs
+        self.arcs = dict(zip(np.concatenate(arcs).tolist(), range(len(self.weights))))
 
     def traverse(self, tokens: list[int]) -> float:
         arcs, weights, targets, fail, fail_weight = self.arcs, self.weights, self.targets, self.fail, self.fail_weight
@@ -252,6 +284,7 @@ class Automaton:
 
 def _score(order: int, texts: int, n: int, v: int, strength: float, growth: float):
     def run(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        return_memory()  # what the block before has left
         row = block.iloc[0]
         g = Grams(row, order)
         totals = []
@@ -259,7 +292,9 @@ def _score(order: int, texts: int, n: int, v: int, strength: float, growth: floa
         for m in range(1, order + 1):
             own = answers[answers["level"] == m]
             totals.append(np.concatenate([_unpack(t, f"<u{w}") for t, w in zip(own["totals"], own["width"])]).astype("i8"))
+        del answers, own
         automaton = Automaton(g, totals, texts, n, v, strength, growth)
+        del totals, g.levels
         base = np.log10((automaton.seen + 1.0) / (n + v + 1.0))
         scores = [automaton.traverse(g.tokens[a:b].tolist()) for a, b in zip(g.starts, g.ends)]
         return pd.DataFrame({
@@ -279,7 +314,7 @@ def score(
     """Scores of ``docs`` (doc_id, text, training): SCORES, one row per text."""
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce("training", F.lit(True)).alias("training"))
-    blocks = written(rows.mapInPandas(_cut(block_tokens), BLOCK), "lm-blocks")
+    blocks = written(rows.mapInArrow(_cut(block_tokens), BLOCK), "lm-blocks")
     sizes = blocks.agg(
         F.sum("entries"), F.sum(F.size(F.filter("training", lambda t: t))), F.max(F.size("doc_ids"))
     ).first()
@@ -287,7 +322,7 @@ def score(
         return docs.sparkSession.createDataFrame([], SCORES)
     texts = int(sizes[1] or 0)
     ranges = max(partitions(docs.sparkSession), -(-int(sizes[0]) // range_entries))
-    counted = blocks.mapInPandas(_count(order, ranges), "block_id long, range int, level int, keys binary, counts binary")
+    counted = blocks.select("block_id", "training", "ends", "tokens", "vocab").mapInArrow(_count(order, ranges), COUNTS)
     answers = written(
         counted.groupBy("level", "range").applyInPandas(
             _merge,
