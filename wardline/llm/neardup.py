@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import likely_among, partitions, per_text, remove_written, sole_cache, words
+from wardline.llm.common import partitions, per_text, remove_written, sole_cache, words
 from wardline.session import written
 
 CACHE_WORDS = 500_000
@@ -311,9 +311,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     nodes = written(tables.select("id").distinct(), "dup-nodes")
     reps = classes.select("id", "copy", "rep").join(nodes, "id")
     full = per_text(
-        likely_among(source, "doc_id", reps.select("rep")), ["doc_id"],
+        source, ["doc_id"],
         f"copy array<long>, shingles binary, n int, {', '.join(f'{c} long' for c in MAP)}",
-        lambda: lambda texts: zip(*(_full_set(t, k) for t in texts)),
+        lambda: lambda texts: zip(*(_full_set(t, k) for t in texts)), among=("doc_id", reps.select("rep")),
     )
     # By copy, not by id: an id's other text is another class, and some other ids come along.
     sets = written(full.drop("doc_id").dropDuplicates(["copy"]).join(reps.select("copy", "id"), "copy").drop("copy"), "dup-sets")
