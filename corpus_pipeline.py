@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm import langid, mixing, neardup, packing, toxicity
-from wardline.llm.common import table
+from wardline.llm.common import split_by_keys, table
 from wardline.llm.queries import vocabulary_path
 from wardline.session import written
 
@@ -35,16 +35,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One row of each group of near duplicates (five-word shingles, similarity 0.8).
 
     A document is an id with its text: an id with several texts is several documents, and rows that
-    repeat both, the id missing or not, are one. Only rows that repeat meet each other.
+    repeat both, the id missing or not, are one. Only rows that repeat meet each other, and only
+    texts of rows that may go or repeat are shuffled.
     """
     keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
     found = neardup.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), k=5)
     per_key = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_or("kept").alias("kept")), "dup-keys")
     gone = per_key.filter("not kept").select(F.col("doc_id").alias("_key"))
     again = per_key.filter("kept and n > 1").select(F.col("doc_id").alias("_key"))
-    stays = keyed.join(gone, "_key", "left_anti")
+    met, rest = split_by_keys(keyed, "_key", gone.union(again))
+    stays = met.join(gone, "_key", "left_anti")
     once = stays.join(again, "_key", "left_semi").dropDuplicates(["_key"])
-    return stays.join(again, "_key", "left_anti").unionByName(once).select(*docs.columns)
+    return rest.unionByName(stays.join(again, "_key", "left_anti")).unionByName(once).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

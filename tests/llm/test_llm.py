@@ -241,6 +241,30 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     assert kept == {"a": 1, "b": 1, "c d e f g h": 1, "only": 1, None: 1, "": 1}
 
 
+def test_only_texts_of_groups_are_shuffled(spark, monkeypatch, capsys):
+    """Texts of other documents stay where they are, and a task's texts go through one Python step."""
+    of = lambda i: " ".join(f"w{i}x{j}" for j in range(30))
+    docs = spark.createDataFrame([(i, of(i if i else 1), "x") for i in range(40)], "doc_id long, text string, lang string").repartition(4)
+    steps, write = [], neardup.written
+
+    def seen(df, purpose, *by):
+        if purpose == "dup-sets":
+            df.explain()
+            steps.append(capsys.readouterr().out.count("MapInArrow"))
+        return write(df, purpose, *by)
+
+    monkeypatch.setattr(neardup, "written", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = corpus_pipeline.drop_near_duplicates(spark, docs, "").withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert steps == [1]
+    assert sorted(r["doc_id"] for r in got) == [0, *range(2, 40)]
+    assert len({r["at"] for r in got}) >= 4
+
+
 def test_packing_is_whole_and_gapless(spark, sf):
     from tokenizers import Tokenizer
 
