@@ -16,7 +16,7 @@ from oracle import compare, duck
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from wardline.llm import backoff, chat, mixing, neardup, packing, queries, toxicity, wrappers
+from wardline.llm import backoff, chat, langid, mixing, neardup, packing, queries, toxicity, wrappers
 from wardline.llm.common import likely_among, sole_cache, table, words
 
 SCHEMAS = {
@@ -265,6 +265,21 @@ def test_only_texts_of_groups_are_shuffled(spark, monkeypatch, capsys):
     assert len({r["at"] for r in got}) >= 4
 
 
+def test_driver_rows_need_no_python_worker(spark):
+    docs = spark.createDataFrame([(i, f"some words {i}", ["en", "de"][i % 2]) for i in range(40)], "doc_id long, text string, lang string")
+    steps = []
+    made = type(spark).createDataFrame
+
+    def seen(self, data, *a, **b):
+        steps.append(type(data))
+        return made(self, data, *a, **b)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(spark), "createDataFrame", seen)
+        assert sorted(langid.sampled(docs, 5, 10_000, 1)) == ["de", "en"]
+    assert steps == [pa.Table]
+
+
 def test_packing_is_whole_and_gapless(spark, sf):
     from tokenizers import Tokenizer
 

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import per_text, sole_cache
+from wardline.llm.common import few_rows, per_text, sole_cache
 
 LETTER = regex.compile(r"\p{L}")
 SIDE = regex.compile(r"^[^\p{L}\p{M}]+|[^\p{L}\p{M}]+$")
@@ -228,7 +228,8 @@ def sampled(training: DataFrame, rows_per_language: int, chars_per_language: int
     if not chosen:
         return {}
     kind = texts.schema["doc_id"].dataType.simpleString()
-    wanted = training.sparkSession.createDataFrame([(r["lang"], r["doc_id"], r["_h"]) for r in chosen], f"_l string, _d {kind}, _k long").distinct()
+    ids = [(r["lang"], r["doc_id"], r["_h"]) for r in chosen]
+    wanted = few_rows(training.sparkSession, ids, f"_l string, _d {kind}, _k long").distinct()
     same = (F.col("_h") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("lang") == F.col("_l"))
     found = texts.join(F.broadcast(wanted), same).select("lang", "doc_id", "_h", "text").collect()
     text_of = {(r["lang"], r["doc_id"], r["_h"]): r["text"] for r in found}

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import per_text, sole_cache
+from wardline.llm.common import few_rows, per_text, sole_cache
 from wardline.session import written
 
 # Punctuation of ASCII separates words here; it says nothing about toxicity.
@@ -245,7 +245,7 @@ def train(
     if not chosen:
         return Model()
     kind = order.schema["doc_id"].dataType.simpleString()
-    wanted = docs.sparkSession.createDataFrame([(d, h) for d, h in chosen], f"doc_id {kind}, _h long")
+    wanted = few_rows(docs.sparkSession, list(chosen), f"doc_id {kind}, _h long")
     found = {(r["doc_id"], r["_h"]): r["text"] for r in texts.join(F.broadcast(wanted), ["doc_id", "_h"]).collect()}
     samples = [[found[k] for k in sorted(chosen, key=chosen.get) if chosen[k][0] == c and k in found] for c in (0, 1)]
     return fit(samples[1], samples[0])
